@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from rasterloom.sources.tables import read_manifest
 
 # Columns of the three registries. Settings that decide the pixels
 # are columns of the transform registry too, so the row alone reproduces a version.
-TRANSFORM_REGISTRY = T.StructType.fromDDL(
+TRANSFORM_REGISTRY = (
     "transform_version string, generated_at timestamp, target_width int, target_height int,"
     " resize_strategy string, image_mode string, image_format string, foreground_threshold int,"
     " foreground_crop_enabled boolean, foreground_mask_enabled boolean,"
@@ -17,13 +17,13 @@ TRANSFORM_REGISTRY = T.StructType.fromDDL(
     " output_manifest_path string, output_images_path string, debug_export_path string,"
     " debug_export_n int, debug_export_per_class int, debug_export_seed int"
 )
-SPLIT_REGISTRY = T.StructType.fromDDL(
+SPLIT_REGISTRY = (
     "split_id string, generated_at timestamp, seed int, train_ratio double, val_ratio double,"
     " test_ratio double, rows_total long, rows_train long, rows_val long, rows_test long,"
     " input_manifest_path string, output_manifest_path string, output_splits_path string,"
     " partition_by string, partitions int, shuffle_partitions int"
 )
-EXPORT_REGISTRY = T.StructType.fromDDL(
+EXPORT_REGISTRY = (
     "export_id string, generated_at timestamp, seed int, n_shards int, rows_total long,"
     " rows_train long, rows_val long, rows_test long, distinct_labels int,"
     " input_manifest_path string, output_path string, current_output_path string,"
@@ -32,12 +32,13 @@ EXPORT_REGISTRY = T.StructType.fromDDL(
 )
 
 
-def registry_row(spark: SparkSession, schema: T.StructType, values: dict[str, object]) -> DataFrame:
+def registry_row(spark: SparkSession, schema: str, values: dict[str, object]) -> DataFrame:
     """One registry row; columns without a value are null."""
-    unknown = sorted(set(values) - set(schema.names))
+    names = [column.split()[0] for column in schema.split(",")]
+    unknown = sorted(set(values) - set(names))
     if unknown:
         raise ValueError(f"not registry columns: {', '.join(unknown)}")
-    return spark.createDataFrame([Row(*[values.get(name) for name in schema.names])], schema)
+    return spark.createDataFrame([Row(*[values.get(name) for name in names])], schema)
 
 
 def upsert_registry(rows: DataFrame, key: str, path: str) -> None:

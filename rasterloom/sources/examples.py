@@ -33,6 +33,9 @@ SCHEMA = "image_bytes binary, label_idx long, image_id string, split string, spl
 INTEGERS = ("label_idx", "shard_id")
 MANIFEST_DIR = "shard_manifest.parquet"
 
+# Bytes of records that a reading task checks together.
+READ_BYTES = 8 * 1024 * 1024
+
 # Fixed values of the record framing: reflected Castagnoli polynomial, mask.
 CRC_POLYNOMIAL = 0x82F63B78
 CRC_MASK = 0xA282EAD8
@@ -144,13 +147,24 @@ class ExampleReader(DataSourceReader):
     def read(self, partition: ExampleFile) -> Iterator[tuple]:
         fs, _ = pa.fs.FileSystem.from_uri(_uri(self.path))
         with fs.open_input_stream(partition.path) as stream:
-            while header := stream.read(12):
-                length = int.from_bytes(header[:8], "little")
-                record = stream.read(length)
-                checks = header[8:] + stream.read(4)
-                if len(record) != length or _masked([header[:8], record]).astype("<u4").tobytes() != checks:
-                    raise ValueError(f"damaged record in {partition.path}")
-                yield _parse_example(record)
+            heads, records, checks, held = [], [], [], 0
+            while True:
+                head = stream.read(12)
+                if head:
+                    record = stream.read(int.from_bytes(head[:8], "little"))
+                    heads.append(head[:8])
+                    records.append(record)
+                    checks.append(head[8:] + stream.read(4))
+                    held += len(record)
+                # checksums are computed for many records at once
+                if records and (not head or held > READ_BYTES):
+                    found = np.stack([_masked(heads), _masked(records)], axis=1).astype("<u4")
+                    if found.tobytes() != b"".join(checks):
+                        raise ValueError(f"damaged record in {partition.path}")
+                    yield from map(_parse_example, records)
+                    heads, records, checks, held = [], [], [], 0
+                if not head:
+                    return
 
 
 @dataclass

@@ -538,7 +538,7 @@ def predictions(spark: SparkSession, sf: str) -> DataFrame:
     labels = F.array_join(F.transform(F.from_json("classifier_topk_json", scoring.TOPK), lambda e: e["label_idx"].cast("string")), ",")
     real = ("classifier_confidence", "anomaly_max_error", "anomaly_threshold", "anomaly_ratio")
     return rows.select(
-        *[c for c in scoring.PREDICTIONS.names if c not in (*real, "classifier_topk_json")],
+        *[c for c in scoring.PREDICTIONS if c not in (*real, "classifier_topk_json")],
         *_rounded(*real), labels.alias("topk_labels"),
         *[value.alias(f"shown_{key}") for key, value in shown.items()],
     )
