@@ -18,8 +18,8 @@ def keep_images(files: DataFrame) -> DataFrame:
     return files.where(paths.is_image(F.col("path")))
 
 
-def enrich_manifest(files: DataFrame) -> DataFrame:
-    """Ids, class, modality and size derived from ``path`` and ``length``."""
+def enrich_manifest(files: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Ids, class, modality and size derived from ``path`` and ``length``; ``keep`` passes columns on."""
     require_cols(files, ["path", "length"], "file listing")
     path = F.col("path")
     return files.select(
@@ -28,6 +28,7 @@ def enrich_manifest(files: DataFrame) -> DataFrame:
         paths.pathology(paths.parent_dir(path)).alias("pathology"),
         paths.modality(paths.parent_dir(path)).alias("modality"),
         F.col("length").cast("long").alias("file_size"),
+        *keep,
     )
 
 

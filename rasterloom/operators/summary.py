@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rasterloom.operators.manifest import has_label
 from rasterloom.operators.splits import SPLITS
 
+# Columns of the written summary.
+SUMMARY = (
+    "export_id string, generated_at timestamp, seed int, n_shards int, rows_total long,"
+    " rows_by_split map<string,long>, files_total long, files_by_split map<string,long>,"
+    " distinct_labels int, labels array<struct<label_idx:int,pathology:string>>,"
+    " label_counts_by_split map<string,map<string,long>>, input_manifest_path string,"
+    " output_path string, output_format string, image_height int, image_width int, channels int"
+)
 IMAGE_SPEC = ["new_height", "new_width", "channels"]
 
 
@@ -101,6 +109,16 @@ def _three_way(what: str, form: str) -> Column:
     return F.create_map(*pairs).alias(f"{what}_by_split")
 
 
+def write_summary(row: DataFrame, path: str) -> None:
+    """Write the one-row summary as JSON."""
+    row.coalesce(1).write.mode("overwrite").json(path)
+
+
+def read_summary(spark: SparkSession, path: str) -> DataFrame:
+    """The summary written with an export; a missing one is an error when it is read."""
+    return spark.read.schema(SUMMARY).json(path)
+
+
 def label_of(labels: DataFrame, name: str) -> DataFrame:
     """Label of a class by trimmed name: one row, null when no class has the name."""
     found = F.trim("pathology") == F.lit(name.strip())
