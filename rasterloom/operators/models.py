@@ -25,6 +25,8 @@ from rasterloom.operators.statistics import best_epoch, evaluate
 MODEL_BYTES = 1 << 30
 # PCA through the covariance matrix needs pixels² doubles on the driver.
 PCA_PIXELS = 4096
+# Directions that subspace iteration carries beyond those asked for.
+SPARE = 8
 
 
 @dataclass(frozen=True)
@@ -168,10 +170,15 @@ def fit_reconstructor(
         centred = scaled_pixels(normal.select("processed_bytes"), height, width).where(F.col("x").isNotNull())
         fitted = PCA(k=latent, inputCol="v", outputCol="z").fit(centred.select(array_to_vector("x").alias("v")))
         return Reconstructor(mean, fitted.pc.toArray(), height, width)
-    basis = np.linalg.qr(np.random.default_rng(seed).standard_normal((size, latent)))[0]
+    # a few spare directions make the wanted ones converge fast
+    columns = min(latent + SPARE, size)
+    bounded_model(size * columns, "components")
+    basis = np.linalg.qr(np.random.default_rng(seed).standard_normal((size, columns)))[0]
     for _ in range(rounds):
-        basis = np.linalg.qr(_covariance_times(normal, mean, basis, height, width))[0]
-    return Reconstructor(mean, basis, height, width)
+        image = _covariance_times(normal, mean, basis, height, width)
+        share, turn = np.linalg.eigh(basis.T @ image)
+        found, basis = basis @ turn[:, np.argsort(-share)[:latent]], np.linalg.qr(image)[0]
+    return Reconstructor(mean, found, height, width)
 
 
 def _covariance_times(df: DataFrame, mean: np.ndarray, basis: np.ndarray, height: int, width: int) -> np.ndarray:
