@@ -125,31 +125,40 @@ def class_sums(df: DataFrame, height: int, width: int) -> DataFrame:
     return merged.select("label_idx", "images", mean.alias("mean"))
 
 
-def fit_class_means(df: DataFrame, height: int, width: int) -> SoftmaxModel:
-    """Nearest-centroid softmax: class scores are minus the squared distance to the class mean.
+@dataclass(frozen=True)
+class ClassMeans:
+    """Mean scaled image of each class, the source of both simple models."""
 
-    ``-|x-m|² = 2 m·x - |m|² - |x|²``, and the last term cancels in the softmax,
-    so the model is linear. A label that never occurs gets a score of minus infinity.
-    """
-    sums = class_sums(df, height, width)
-    rows = sums.orderBy("label_idx").collect()  # one row per class
-    if not rows:
-        raise ValueError("no labelled training images")
-    classes = rows[-1]["label_idx"] + 1
-    bounded_model(classes * height * width, "class means")
-    weights, bias = np.zeros((classes, height * width)), np.full(classes, -np.inf)
-    for row in rows:
-        mean = np.array(row["mean"])
-        weights[row["label_idx"]], bias[row["label_idx"]] = 2 * mean, -(mean @ mean)
-    return SoftmaxModel(weights, bias, height, width)
+    means: dict[int, np.ndarray]
+    height: int
+    width: int
 
+    def classifier(self) -> SoftmaxModel:
+        """Nearest-centroid softmax: class scores are minus the squared distance to the class mean.
 
-def mean_reconstructor(df: DataFrame, label_idx: int, height: int, width: int) -> Reconstructor:
-    """Mean image of the normal class, the reconstructor without components."""
-    row = class_sums(normal_only(df, label_idx), height, width).first()
-    if row is None:
-        raise ValueError("no normal training images")
-    return Reconstructor(np.array(row["mean"]), np.zeros((height * width, 0)), height, width)
+        ``-|x-m|² = 2 m·x - |m|² - |x|²``, and the last term cancels in the softmax,
+        so the model is linear. A label that never occurs scores minus infinity.
+        """
+        classes = max(self.means) + 1
+        weights, bias = np.zeros((classes, self.height * self.width)), np.full(classes, -np.inf)
+        for label, mean in self.means.items():
+            weights[label], bias[label] = 2 * mean, -(mean @ mean)
+        return SoftmaxModel(weights, bias, self.height, self.width)
+
+    def reconstructor(self, label_idx: int) -> Reconstructor:
+        """The class's mean image, a reconstructor without components."""
+        if label_idx not in self.means:
+            raise ValueError("no normal training images")
+        return Reconstructor(self.means[label_idx], np.zeros((self.height * self.width, 0)), self.height, self.width)
+
+
+def fit_class_means(df: DataFrame, height: int, width: int) -> ClassMeans:
+    """Class means in one pass over the training images."""
+    rows = class_sums(df, height, width).select("label_idx", "mean").collect()  # one row per class
+    if not rows:
+        raise ValueError("no labelled training images")
+    bounded_model((max(row["label_idx"] for row in rows) + 1) * height * width, "class means")
+    return ClassMeans({row["label_idx"]: np.array(row["mean"]) for row in rows}, height, width)
 
 
 def fit_reconstructor(
@@ -162,7 +171,7 @@ def fit_reconstructor(
     pass in which every task adds up its share of ``Xᵀ(XQ)``.
     """
     normal = normal_only(train, label_idx)
-    mean = mean_reconstructor(train, label_idx, height, width).mean
+    mean = fit_class_means(normal, height, width).reconstructor(label_idx).mean
     size = height * width
     latent = min(latent, size)
     bounded_model(size * latent, "components")

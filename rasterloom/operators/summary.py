@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from rasterloom.operators.manifest import has_label
 from rasterloom.operators.splits import SPLITS
+from rasterloom.session import cut_lineage
 
 # Columns of the written summary.
 SUMMARY = (
@@ -31,6 +32,17 @@ def label_cells(df: DataFrame) -> DataFrame:
     return df.groupBy("split", "label_idx", "pathology").agg(*sums)
 
 
+def index_labels(cells: DataFrame) -> DataFrame:
+    """Add ``label_idx`` to aggregated rows: the rank of the class name, from 0.
+
+    The same numbers as ``label_mapping``, without its second reading of the
+    manifest and without a join. ``cells`` has a few rows per class.
+    """
+    usable = F.coalesce(F.col("pathology") != "", F.lit(False))
+    rank = F.dense_rank().over(Window.partitionBy(usable).orderBy("pathology")) - 1
+    return cells.withColumn("label_idx", F.when(usable, rank))
+
+
 def label_counts_by_split(cells: DataFrame) -> DataFrame:
     """``(split, label_idx, rows)``, null labels dropped."""
     return has_label(cells).groupBy("split", "label_idx").agg(F.sum("rows").alias("rows"))
@@ -51,53 +63,66 @@ def distinct_labels(df: DataFrame) -> DataFrame:
 
 def image_spec(cells: DataFrame) -> DataFrame:
     """One row ``(image_height, image_width, channels)``: the only shape, or nulls."""
+    return cells.agg(_only_spec(cells).alias("spec")).select(*_spec_columns())
+
+
+def _only_spec(cells: DataFrame) -> Column:
     if "least_spec" not in cells.columns:
-        spec = F.lit(None).cast("struct<new_height:int,new_width:int,channels:int>")
-        shapes = cells.agg(F.count("*")).select(spec.alias("spec"))
-    else:
-        one = F.min("least_spec") == F.max("most_spec")
-        shapes = cells.agg(F.when(one, F.min("least_spec")).alias("spec"))
-    return shapes.select(
-        F.col("spec.new_height").alias("image_height"),
-        F.col("spec.new_width").alias("image_width"),
-        F.col("spec.channels").alias("channels"),
-    )
+        return F.max(F.lit(None).cast("struct<new_height:int,new_width:int,channels:int>"))
+    return F.when(F.min("least_spec") == F.max("most_spec"), F.min("least_spec"))
+
+
+def _spec_columns() -> list[Column]:
+    # Names of the image shape in the summary.
+    names = dict(zip(IMAGE_SPEC, ("image_height", "image_width", "channels")))
+    return [F.col(f"spec.{ours}").alias(name) for ours, name in names.items()]
 
 
 def dataset_summary(cells: DataFrame, shard_manifest: DataFrame, lineage: dict[str, object]) -> DataFrame:
-    """One row with nested counts. ``cells`` has a row per split and class, so it is small."""
-    per_label = label_counts_by_split(cells).groupBy("split").agg(
+    """One row with nested counts.
+
+    ``cells`` has a row per split and class. It is materialised, so that the
+    parts of the summary do not each read the manifest again.
+    """
+    cells = cut_lineage(cells)
+    per_split = label_counts_by_split(cells).groupBy("split").agg(
         F.map_from_entries(
             F.array_sort(F.collect_list(F.struct(F.col("label_idx").cast("string"), "rows")))
         ).alias("per_label")
     )
-    nested = per_label.agg(
+    nested = per_split.agg(
         F.map_from_entries(F.collect_list(F.struct("split", "per_label"))).alias("label_counts_by_split")
     )
+    named = F.when(F.col("label_idx").isNotNull(), F.struct("label_idx", "pathology"))
     counts = cells.agg(
         *[_sum_where(F.col("rows"), name).alias(f"rows_{name}") for name in SPLITS],
-        (F.count_distinct("label_idx") + F.max(F.col("label_idx").isNull().cast("int"))).alias("distinct_labels"),
-        F.array_sort(
-            F.collect_set(F.when(F.col("label_idx").isNotNull(), F.struct("label_idx", "pathology")))
-        ).alias("labels"),
+        (F.count_distinct("label_idx") + F.max(F.col("label_idx").isNull().cast("int"))).cast("int").alias("distinct_labels"),
+        F.array_sort(F.collect_set(named)).alias("labels"),
+        _only_spec(cells).alias("spec"),
     )
     files = shard_manifest.agg(*[F.count_if(F.col("split") == name).alias(f"files_{name}") for name in SPLITS])
-    # three frames of exactly one row each, joined on a constant
-    parts = [frame.withColumn("one", F.lit(1)) for frame in (counts, files, nested, image_spec(cells))]
-    row = parts[0]
-    for part in parts[1:]:
-        row = row.join(part, "one")
+    row = _beside(counts, files, nested)
     return row.select(
         *[F.lit(value).alias(name) for name, value in lineage.items()],
         _three_way("rows", "total"),
         _three_way("rows", "map"),
         _three_way("files", "total"),
         _three_way("files", "map"),
-        F.col("distinct_labels").cast("int").alias("distinct_labels"),
-        "labels", "label_counts_by_split", "image_height", "image_width", "channels",
+        "distinct_labels",
+        "labels",
+        "label_counts_by_split",
+        *_spec_columns(),
     )
 
 
+def _beside(*rows: DataFrame) -> DataFrame:
+    """Frames of exactly one row each, side by side."""
+    first, *others = [row.withColumn("_one", F.lit(1)) for row in rows]
+    for other in others:
+        first = first.join(other, "_one")
+    return first.drop("_one")
+
+
 def _sum_where(value: Column, split: str) -> Column:
     return F.coalesce(F.sum(F.when(F.col("split") == split, value)), F.lit(0))
 

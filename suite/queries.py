@@ -10,7 +10,7 @@ from rasterloom.operators import (
     sampling, scoring, splits, statistics, summary,
 )
 from rasterloom.operators.images import TransformOptions
-from rasterloom.session import scratch_path
+from rasterloom.session import cut_lineage, scratch_path
 from rasterloom.sources import examples, tables
 from rasterloom.streaming.status import follow_status
 from suite import views
@@ -110,10 +110,9 @@ def split_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def split_label_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows per split, label, class and modality: aggregated before labels are attached."""
+    """Rows per split, label, class and modality: one reading, labels numbered after the aggregate."""
     counts = split_manifest(spark, sf).groupBy("split", "pathology", "modality").agg(F.count("*").alias("rows"))
-    labelled = counts.join(manifests.label_mapping(counts), "pathology", "left")
-    return labelled.select("split", "label_idx", "pathology", "modality", "rows")
+    return summary.index_labels(counts).select("split", "label_idx", "pathology", "modality", "rows")
 
 
 def split_registry_names(spark: SparkSession, sf: str) -> DataFrame:
@@ -212,8 +211,7 @@ def _summary_cells(spark: SparkSession, sf: str) -> DataFrame:
     sized = split_manifest(spark, sf).withColumns(
         {"new_height": F.lit(224), "new_width": F.lit(224), "channels": F.lit(1), "label_idx": F.lit(None).cast("int")}
     )
-    cells = summary.label_cells(sized).drop("label_idx")
-    return cells.join(manifests.label_mapping(cells), "pathology", "left")
+    return summary.index_labels(summary.label_cells(sized))
 
 
 def dataset_summary(spark: SparkSession, sf: str) -> DataFrame:
@@ -246,7 +244,7 @@ def distinct_labels(spark: SparkSession, sf: str) -> DataFrame:
 
 def label_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """Label, number of classes, rows and steps of the normal class and of every other one, by split."""
-    cells = _summary_cells(spark, sf)
+    cells = cut_lineage(_summary_cells(spark, sf))
     labels = summary.label_rows(cells)
     counts = summary.label_counts_by_split(cells)
     normal = summary.label_of(labels, " _NORMAL ").select(F.col("label_idx").alias("normal_idx"), F.lit(1).alias("one"))
@@ -428,12 +426,16 @@ def shape_check(spark: SparkSession, sf: str) -> DataFrame:
 # -- models and scores ---------------------------------------------------------------------
 
 
-def _classifier(spark: SparkSession, sf: str) -> models.SoftmaxModel:
+def _means(spark: SparkSession, sf: str) -> models.ClassMeans:
     return models.fit_class_means(in_split(silver(spark, sf), "train"), SIDE, SIDE)
 
 
+def _classifier(spark: SparkSession, sf: str) -> models.SoftmaxModel:
+    return _means(spark, sf).classifier()
+
+
 def _reconstructor(spark: SparkSession, sf: str) -> models.Reconstructor:
-    return models.mean_reconstructor(in_split(silver(spark, sf), "train"), NORMAL, SIDE, SIDE)
+    return _means(spark, sf).reconstructor(NORMAL)
 
 
 def class_means(spark: SparkSession, sf: str) -> DataFrame:
@@ -519,10 +521,11 @@ def anomaly_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _predictions(spark: SparkSession, sf: str, rows: DataFrame, folder: str) -> DataFrame:
-    model = _reconstructor(spark, sf)
+    means = _means(spark, sf)
+    model = means.reconstructor(NORMAL)
     info = _thresholds(spark, sf, model).first().asDict()
     return scoring.predict(
-        rows, _classifier(spark, sf), model, scoring.pick_threshold(F.lit("p95"), F.lit(None).cast("double"), info),
+        rows, means.classifier(), model, scoring.pick_threshold(F.lit("p95"), F.lit(None).cast("double"), info),
         ("classification", "anomaly_autoencoder"), 3, folder, True,
     )
 

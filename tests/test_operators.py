@@ -127,6 +127,14 @@ def test_labels_are_dense_in_byte_order(spark):
     assert got == [("B", 0), ("_x", 1), ("b", 2)]
 
 
+def test_ranked_labels_equal_the_mapping(spark):
+    names = ["b", "_x", "B", "", None, "b", "é", "Z"]
+    rows = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "pathology string, i int")
+    ranked = {r.pathology: r.label_idx for r in summary.index_labels(rows).collect()}
+    joined = {r.pathology: r.label_idx for r in manifests.attach_labels(rows, manifests.label_mapping(rows)).collect()}
+    assert ranked == joined and ranked[None] is None and ranked[""] is None
+
+
 def test_request_id_is_carried(spark):
     columns = {c: F.lit(None).cast("string") for c in manifests.BRONZE}
     rows = spark.range(1).select(*[v.alias(k) for k, v in columns.items()], F.lit("r1").alias("request_id"))
@@ -314,7 +322,7 @@ def test_fitted_classifier_learns(spark):
     rows = spark.createDataFrame(data, "label_idx int, processed_bytes binary")
     model = models.fit_classifier(rows.limit(60), rows, 4, 4, (0.0, 1.0), 30)
     assert max(h[1] for h in model.history) == 1.0
-    means = models.fit_class_means(rows, 4, 4)
+    means = models.fit_class_means(rows, 4, 4).classifier()
     scored = scoring.classify(rows, means).withColumn("pred_idx", F.col("classifier_pred_idx"))
     assert statistics.evaluate(scored).first().accuracy == 1.0
 
