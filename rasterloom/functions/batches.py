@@ -46,6 +46,13 @@ def _arrow_type(kind: T.DataType) -> pa.DataType:
     return pa.list_(_arrow_type(kind.elementType)) if isinstance(kind, T.ArrayType) else plain[kind]
 
 
+def per_row(batch: pa.RecordBatch, given: str | int) -> np.ndarray:
+    """A constant or a column as one integer per row; null counts as -1."""
+    if isinstance(given, int):
+        return np.full(batch.num_rows, given, np.int64)
+    return batch.column(given).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def stacks(
     batch: pa.RecordBatch, pixels: str, height: str | int, width: str | int, channels: str | int = 1
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -55,15 +62,8 @@ def stacks(
     fill their shape are in no stack. A stack holds a bounded number of pixels;
     a larger group of rows comes as several stacks.
     """
-    n = batch.num_rows
-
-    def sizes(given: str | int) -> np.ndarray:
-        if isinstance(given, int):
-            return np.full(n, given)
-        return batch.column(given).fill_null(-1).to_numpy(zero_copy_only=False)
-
     held = batch.column(pixels)
-    shape = np.stack([sizes(height), sizes(width), sizes(channels)], axis=1).astype(np.int64)
+    shape = np.stack([per_row(batch, size) for size in (height, width, channels)], axis=1)
     length = pa.compute.binary_length(held).fill_null(-1).to_numpy(zero_copy_only=False)
     usable = np.flatnonzero((shape > 0).all(axis=1) & (shape.prod(axis=1) == length))
     kinds, member = np.unique(shape[usable], axis=0, return_inverse=True)

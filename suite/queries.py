@@ -346,17 +346,9 @@ def gray_from_bgr(spark: SparkSession, sf: str) -> DataFrame:
 
 def foreground_mask(spark: SparkSession, sf: str) -> DataFrame:
     """Components and filled masks at four thresholds; nothing is brighter than 255."""
-    rows = views.images(spark, sf).select("vec_id", "pixels", "height", "width")
-    parts = [
-        image_ops.foreground_masks(rows, t).select(
-            "vec_id", F.lit(t).alias("threshold"), _hex("component"), _hex("mask")
-        )
-        for t in (12, 100, 128, 255)
-    ]
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole
+    levels = F.explode(F.array(*[F.lit(t) for t in (12, 100, 128, 255)])).alias("threshold")
+    rows = views.images(spark, sf).select("vec_id", "pixels", "height", "width", levels)
+    return image_ops.foreground_masks(rows, "threshold").select("vec_id", "threshold", _hex("component"), _hex("mask"))
 
 
 def _prepared(spark: SparkSession, sf: str, **options) -> DataFrame:
@@ -378,14 +370,12 @@ def normalize_mask(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _resized(spark: SparkSession, sf: str, strategy: str, sizes: list[tuple[int, int]]) -> DataFrame:
-    rows = views.images(spark, sf).select("vec_id", "pixels", "height", "width")
-    whole = None
-    for width, height in sizes:
-        part = image_ops.resize_images(rows, width, height, strategy).select(
-            "vec_id", F.lit(width).alias("new_width"), F.lit(height).alias("new_height"), _hex("resized")
-        )
-        whole = part if whole is None else whole.unionByName(part)
-    return whole
+    targets = F.inline(
+        F.array(*[F.struct(F.lit(w).alias("new_width"), F.lit(h).alias("new_height")) for w, h in sizes])
+    )
+    rows = views.images(spark, sf).select("vec_id", "pixels", "height", "width", targets)
+    made = image_ops.resize_images(rows, "new_width", "new_height", strategy)
+    return made.select("vec_id", "new_width", "new_height", _hex("resized"))
 
 
 def resize_stretch(spark: SparkSession, sf: str) -> DataFrame:
