@@ -15,22 +15,27 @@ def with_kernel(
     df: DataFrame,
     fields: list[T.StructField],
     start: Callable[[], Callable[[pa.RecordBatch], list]],
+    drop: tuple[str, ...] = (),
 ) -> DataFrame:
     """Append columns that a kernel computes batch by batch.
 
     ``start`` runs once per task and returns the kernel, which maps a batch to
-    one list or array per field. The other columns pass through untouched.
+    one list or array per field. The other columns pass through untouched,
+    except those to ``drop``: pixels that only the kernel needs do not travel
+    back to the JVM.
     """
-    names = df.columns + [field.name for field in fields]
+    kept = [field for field in df.schema.fields if field.name not in drop]
+    held = [i for i, name in enumerate(df.columns) if name not in drop]
+    names = [field.name for field in kept + fields]
     kinds = [_arrow_type(field.dataType) for field in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kernel = start()
         for batch in batches:
             made = [pa.array(values, kind) for values, kind in zip(kernel(batch), kinds)]
-            yield pa.RecordBatch.from_arrays(batch.columns + made, names=names)
+            yield pa.RecordBatch.from_arrays([batch.column(i) for i in held] + made, names=names)
 
-    return df.mapInArrow(run, T.StructType(df.schema.fields + fields))
+    return df.mapInArrow(run, T.StructType(kept + fields))
 
 
 def _arrow_type(kind: T.DataType) -> pa.DataType:

@@ -65,7 +65,7 @@ def bounded_model(values: int, what: str) -> None:
 
 
 def scaled_pixels(df: DataFrame, height: int, width: int, out: str = "x") -> DataFrame:
-    """Add the pixels as an array of doubles in 0..1, null for another shape."""
+    """The pixels as an array of doubles in 0..1 in place of the bytes, null for another shape."""
 
     def start():
         def run(batch: pa.RecordBatch) -> list:
@@ -77,7 +77,7 @@ def scaled_pixels(df: DataFrame, height: int, width: int, out: str = "x") -> Dat
 
         return run
 
-    return with_kernel(df, [T.StructField(out, T.ArrayType(T.DoubleType()))], start)
+    return with_kernel(df, [T.StructField(out, T.ArrayType(T.DoubleType()))], start, drop=("processed_bytes",))
 
 
 def class_sums(df: DataFrame, height: int, width: int) -> DataFrame:

@@ -65,3 +65,11 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
 def current_version(registry: DataFrame, column: str = "output_path") -> DataFrame:
     """Path of the newest version: the table that ``current`` stands for."""
     return registry.agg(F.max_by(column, "generated_at").alias(f"current_{column}"))
+
+
+def read_current(spark: SparkSession, path: str, column: str = "output_path") -> DataFrame:
+    """The table that the newest registry row points at: what ``current`` stands for."""
+    newest = current_version(read_registry(spark, path), column).first()[0]
+    if newest is None:
+        raise ValueError(f"no version in {path}")
+    return read_manifest(spark, newest)

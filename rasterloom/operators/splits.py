@@ -7,11 +7,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rasterloom.functions import hashing
 from rasterloom.functions.checks import name_or_none, positive_int, require_cols, split_ratios
 
-# Split names, default shares and seed.
+# Split names, default shares and seed, and the parts of generated names.
 SPLITS = ("train", "val", "test")
 DEFAULT_RATIOS = (0.7, 0.15, 0.15)
 DEFAULT_SEED = 42
 NAME_TIME = "yyyyMMdd'T'HHmmss'Z'"
+SPLIT_PREFIX = "split_seed"
+EXPORT_PREFIX = "training_tfrecord_seed"
 
 
 def assign_split(
@@ -35,7 +37,7 @@ def split_name(seed: Column, ratios: list[Column], generated_at: Column, given:
     """Identifier of a split; a given one wins unless it is blank."""
     tags = [F.bround(share * 100).cast("int").cast("string") for share in ratios]
     made = F.concat(
-        F.lit("split_seed"), seed.cast("string"), F.lit("_r"), F.concat_ws("_", *tags),
+        F.lit(SPLIT_PREFIX), seed.cast("string"), F.lit("_r"), F.concat_ws("_", *tags),
         F.lit("_"), F.date_format(generated_at, NAME_TIME),
     )
     return _given_or(given, made)
@@ -44,7 +46,7 @@ def split_name(seed: Column, ratios: list[Column], generated_at: Column, given:
 def export_name(seed: Column, n_shards: Column, generated_at: Column, given: Column | None = None) -> Column:
     """Identifier of an export; a given one wins unless it is blank."""
     made = F.concat(
-        F.lit("training_tfrecord_seed"), seed.cast("string"), F.lit("_n"), n_shards.cast("string"),
+        F.lit(EXPORT_PREFIX), seed.cast("string"), F.lit("_n"), n_shards.cast("string"),
         F.lit("_"), F.date_format(generated_at, NAME_TIME),
     )
     return _given_or(given, made)

@@ -20,18 +20,14 @@ def build_session(app_name: str, master: str | None = None, shuffle_partitions:
         builder.config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # rows hold whole images: bound the batches handed to kernels by bytes
+        .config("spark.sql.execution.arrow.maxBytesPerBatch", str(64 * 1024 * 1024))
         .getOrCreate()
     )
-    tune_for_images(spark)
     set_shuffle_partitions(spark, shuffle_partitions)
     return spark
 
 
-def tune_for_images(spark: SparkSession, batch_rows: int = 256) -> None:
-    """Bound the Arrow batches handed to image kernels; a row holds a whole image."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows))
-
-
 def set_shuffle_partitions(spark: SparkSession, n: int | None) -> None:
     """Set the shuffle parallelism only when one is given."""
     if n is not None:

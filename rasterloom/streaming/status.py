@@ -60,6 +60,7 @@ def follow_status(spark: SparkSession, source: str, view: str, extras: list[str]
     folder, name = source.rsplit("/", 1)
     stream = spark.readStream.schema(schema).option("pathGlobFilter", name).parquet(folder)
     events = spark.sql(view.replace("FROM events", "FROM {events}"), events=stream)
+    use_rocksdb(spark)
     target = scratch_path(spark, "states")
     query = write_states(status_stream(events, extras), target, f"{target}-checkpoint")
     query.awaitTermination()

@@ -576,7 +576,7 @@ def status_merge(spark: SparkSession, sf: str) -> DataFrame:
 
 def pending_requests(spark: SparkSession, sf: str) -> DataFrame:
     """Bronze rows of the pending requests, and why some have none."""
-    waiting = request_ops.pending(_open(spark, sf))
+    waiting = cut_lineage(request_ops.pending(_open(spark, sf)))
     files = request_ops.raw_files(views.uploads(spark, sf))
     to_build = request_ops.needs_transform(waiting, files).select("request_id", F.lit(True).alias("to_build"))
     rows = request_ops.request_bronze(waiting, files)

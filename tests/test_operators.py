@@ -190,6 +190,15 @@ def test_exact_quantiles(spark, kind):
     assert np.allclose([got[k] for k in shares], [np.percentile(values, s * 100) for s in shares.values()])
 
 
+def test_thresholds_do_not_depend_on_the_number_of_rows(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = spark.createDataFrame([(float(m), float(x)) for m, x in rng.random((500, 2))], "mean_error double, max_error double")
+    few = statistics.calibrate_threshold(rows).first().asDict()
+    monkeypatch.setattr(statistics, "BUFFERED_ROWS", 10)
+    many = statistics.calibrate_threshold(rows).first().asDict()
+    assert few.keys() == many.keys() and all(np.isclose(few[k], many[k]) for k in few)
+
+
 def test_running_equals_one_window(spark):
     rng = np.random.default_rng(2)
     data = [("hot" if rng.random() < 0.7 else "cold", i, float(rng.integers(0, 50))) for i in range(400)]
