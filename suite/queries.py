@@ -416,16 +416,8 @@ def shape_check(spark: SparkSession, sf: str) -> DataFrame:
 # -- models and scores ---------------------------------------------------------------------
 
 
-def _means(spark: SparkSession, sf: str) -> models.ClassMeans:
-    return models.fit_class_means(in_split(silver(spark, sf), "train"), SIDE, SIDE)
-
-
-def _classifier(spark: SparkSession, sf: str) -> models.SoftmaxModel:
-    return _means(spark, sf).classifier()
-
-
-def _reconstructor(spark: SparkSession, sf: str) -> models.Reconstructor:
-    return _means(spark, sf).reconstructor(NORMAL)
+def _means(rows: DataFrame) -> models.ClassMeans:
+    return models.fit_class_means(in_split(rows, "train"), SIDE, SIDE)
 
 
 def class_means(spark: SparkSession, sf: str) -> DataFrame:
@@ -436,30 +428,33 @@ def class_means(spark: SparkSession, sf: str) -> DataFrame:
                        F.round(F.get("mean", F.lit(9)), 6).alias("pixel_9"))
 
 
-def _pictures(spark: SparkSession, sf: str, *names: str, **parts) -> DataFrame:
-    return scoring.artifacts(silver(spark, sf), **parts).select("vec_id", *[_hex(name) for name in names])
+def _shown(pictures: DataFrame, *names: str) -> DataFrame:
+    return pictures.select("vec_id", *[_hex(name) for name in names])
 
 
 def error_maps(spark: SparkSession, sf: str) -> DataFrame:
     """Reconstruction and scaled error of each image under the mean of the normal class."""
-    return _pictures(spark, sf, "reconstruction", "error_map", reconstructor=_reconstructor(spark, sf))
+    rows = silver(spark, sf)
+    made = scoring.artifacts(rows, reconstructor=_means(rows).reconstructor(NORMAL))
+    return _shown(made, "reconstruction", "error_map")
 
 
 def overlay(spark: SparkSession, sf: str) -> DataFrame:
     """Red overlay where the error is above 0.25; none when it never is."""
-    return _pictures(
-        spark, sf, "anomaly_overlay", reconstructor=_reconstructor(spark, sf), threshold=F.lit(0.25)
-    )
+    rows = silver(spark, sf)
+    made = scoring.artifacts(rows, reconstructor=_means(rows).reconstructor(NORMAL), threshold=F.lit(0.25))
+    return _shown(made, "anomaly_overlay")
 
 
 def saliency(spark: SparkSession, sf: str) -> DataFrame:
-    return _pictures(spark, sf, "gradcam", "gradcam_overlay", classifier=_classifier(spark, sf))
+    rows = silver(spark, sf)
+    return _shown(scoring.artifacts(rows, classifier=_means(rows).classifier()), "gradcam", "gradcam_overlay")
 
 
 def classify_topk(spark: SparkSession, sf: str) -> DataFrame:
     """Top 5 classes of each image, through the JSON text and back."""
-    ranked = scoring.classify(silver(spark, sf), _classifier(spark, sf), 5)
-    text = ranked.select(
+    rows = silver(spark, sf)
+    text = scoring.classify(rows, _means(rows).classifier(), 5).select(
         "vec_id", "classifier_pred_idx", "classifier_pred_label", "classifier_confidence",
         F.to_json("topk").alias("classifier_topk_json"),
     )
@@ -470,36 +465,38 @@ def classify_topk(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def classifier_eval(spark: SparkSession, sf: str) -> DataFrame:
-    ranked = scoring.classify(in_split(silver(spark, sf), "test"), _classifier(spark, sf))
+    rows = silver(spark, sf)
+    ranked = scoring.classify(in_split(rows, "test"), _means(rows).classifier())
     scores = statistics.evaluate(ranked.withColumn("pred_idx", F.col("classifier_pred_idx")))
     return scores.select("rows", *_rounded("accuracy", "loss"))
 
 
 def image_error_stats(spark: SparkSession, sf: str) -> DataFrame:
-    return scoring.image_errors(silver(spark, sf), _reconstructor(spark, sf)).select(
+    rows = silver(spark, sf)
+    return scoring.image_errors(rows, _means(rows).reconstructor(NORMAL)).select(
         "vec_id", *_rounded("max_error", "mean_error")
     )
 
 
-def _thresholds(spark: SparkSession, sf: str, model: models.Reconstructor) -> DataFrame:
-    rows = silver(spark, sf)
+def _thresholds(rows: DataFrame, model: models.Reconstructor) -> DataFrame:
     return scoring.run_calibration(in_split(rows, "train"), in_split(rows, "val"), model, NORMAL)
 
 
 def threshold_calibration(spark: SparkSession, sf: str) -> DataFrame:
-    info = _thresholds(spark, sf, _reconstructor(spark, sf))
+    rows = silver(spark, sf)
+    info = _thresholds(rows, _means(rows).reconstructor(NORMAL))
     exact = ["normal_images_evaluated", "normal_label_idx", "normal_label_name", "image_height", "image_width"]
     return info.select(*_rounded(*[c for c in info.columns if c not in exact]), *exact)
 
 
 def anomaly_scores(spark: SparkSession, sf: str) -> DataFrame:
     """Every image under the four threshold modes."""
-    model = _reconstructor(spark, sf)
-    info = _thresholds(spark, sf, model).first().asDict()
+    rows = silver(spark, sf)
+    model = _means(rows).reconstructor(NORMAL)
+    info = _thresholds(rows, model).first().asDict()
     modes = F.explode(F.array(*[F.lit(m) for m in ("strict", "p99", "p95", "custom")])).alias("mode")
-    rows = silver(spark, sf).select("vec_id", "processed_bytes", modes)
     limit = scoring.pick_threshold(F.col("mode"), F.lit(0.25), info)
-    scored = scoring.score_anomaly(rows, model, limit)
+    scored = scoring.score_anomaly(rows.select("vec_id", "processed_bytes", modes), model, limit)
     size = scoring.total_pixels(
         F.lit(None).cast("int"), F.lit(None).cast("int"), F.lit(None).cast("int"), F.lit(None).cast("int"),
         F.col("anomalous_pixel_count"), F.col("anomaly_ratio"),
@@ -510,10 +507,10 @@ def anomaly_scores(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _predictions(spark: SparkSession, sf: str, rows: DataFrame, folder: str) -> DataFrame:
-    means = _means(spark, sf)
+def _predictions(rows: DataFrame, folder: str) -> DataFrame:
+    means = _means(rows)
     model = means.reconstructor(NORMAL)
-    info = _thresholds(spark, sf, model).first().asDict()
+    info = _thresholds(rows, model).first().asDict()
     return scoring.predict(
         rows, means.classifier(), model, scoring.pick_threshold(F.lit("p95"), F.lit(None).cast("double"), info),
         ("classification", "anomaly_autoencoder"), 3, folder, True,
@@ -521,9 +518,9 @@ def _predictions(spark: SparkSession, sf: str, rows: DataFrame, folder: str) ->
 
 
 def predictions(spark: SparkSession, sf: str) -> DataFrame:
-    """The predictions table, written by transform version and read back; a 0/1 text shows the top labels."""
+    """The predictions table, written by transform version and read back, with the labels of its top k."""
     path = scratch_path(spark, "predictions")
-    made = _predictions(spark, sf, silver(spark, sf), "/out/artifacts")
+    made = _predictions(silver(spark, sf), "/out/artifacts")
     tables.write_predictions(made, path, 8, ["transform_version"])
     rows = tables.read_manifest(spark, path)
     held = {key: F.col(key) for key in ("image_id", *scoring.ARTIFACT_SUFFIX)}
@@ -546,8 +543,9 @@ def fitted_classifier(spark: SparkSession, sf: str) -> DataFrame:
 
 def fitted_reconstructor(spark: SparkSession, sf: str) -> DataFrame:
     """Errors of every image under the principal components of the normal class."""
-    model = models.fit_reconstructor(in_split(silver(spark, sf), "train"), NORMAL, SIDE, SIDE, 8)
-    return scoring.image_errors(silver(spark, sf), model).select("vec_id", *_rounded("max_error", "mean_error"))
+    rows = silver(spark, sf)
+    model = models.fit_reconstructor(in_split(rows, "train"), NORMAL, SIDE, SIDE, 8)
+    return scoring.image_errors(rows, model).select("vec_id", *_rounded("max_error", "mean_error"))
 
 
 # -- requests ------------------------------------------------------------------------------
@@ -603,7 +601,7 @@ def request_settings(spark: SparkSession, sf: str) -> DataFrame:
 def request_results(spark: SparkSession, sf: str) -> DataFrame:
     """Result records: every image is scored for the request that shares its number."""
     rows = silver(spark, sf).withColumn("request_id", F.concat(F.lit("r"), F.col("vec_id").cast("string")))
-    made = _predictions(spark, sf, rows, "/out/artifacts")
+    made = _predictions(rows, "/out/artifacts")
     shown = request_ops.results(_open(spark, sf), made, "/requests")
     first = F.col("first_prediction")
     return shown.select(
