@@ -445,3 +445,11 @@ FROM opened o LEFT JOIN pred p ON o.request_id = 'r' || p.vec_id"""
 ORACLE["open_requests"] = f"""WITH {STATUS}
 SELECT CASE WHEN status IN ('pending', 'queued') THEN 'pending' WHEN status IN ('done', 'failed') THEN 'terminal' ELSE 'processing' END AS state_group,
   count(*) AS requests FROM last GROUP BY ALL"""
+ORACLE["served_requests"] = f"""WITH {MODEL}, {STATUS},
+asked AS (SELECT request_id, substr(request_id, 2)::INT % 11 AS label, CASE coalesce(threshold_mode, 'strict')
+  WHEN 'custom' THEN custom_threshold WHEN 'p99' THEN p99 WHEN 'p95' THEN p95 ELSE strict END AS t FROM merged CROSS JOIN thr),
+hits AS (SELECT request_id, vec_id, any_value(t) AS t, count(*) FILTER (e > t) AS n FROM asked JOIN err USING (label) GROUP BY ALL),
+sums AS (SELECT request_id, count(*) AS rows, round(max(t), 6) AS anomaly_threshold, sum(n)::BIGINT AS anomalous_pixels,
+  count(*) FILTER (n > 0) AS flagged, sum(k)::BIGINT AS class_sum FROM hits JOIN ranked USING (vec_id) WHERE rk = 1 GROUP BY request_id)
+SELECT request_id, CASE WHEN label = 10 THEN 'failed' ELSE 'done' END AS status, rows, anomaly_threshold, anomalous_pixels, flagged, class_sum
+FROM asked LEFT JOIN sums USING (request_id)"""

@@ -12,6 +12,7 @@ from rasterloom.operators import (
 from rasterloom.operators.images import TransformOptions
 from rasterloom.session import cut_lineage, scratch_path
 from rasterloom.sources import examples, tables
+from rasterloom.streaming import requests as serving
 from rasterloom.streaming.status import follow_status
 from suite import views
 from suite.views import in_split, silver, table
@@ -611,6 +612,44 @@ def request_results(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def served_requests(spark: SparkSession, sf: str) -> DataFrame:
+    """The request stream, end to end: every request scores the images of one class.
+
+    Requests come from the events with their newest overrides, go through the
+    inbox, and are answered in micro-batches; shown are the state each ends in
+    and what its predictions add up to.
+    """
+    root = scratch_path(spark, "service")
+    rows = silver(spark, sf)
+    rows.write.partitionBy("label_idx").parquet(f"{root}/silver")
+    means = _means(rows)
+    model = means.reconstructor(NORMAL)
+    service = serving.Service(
+        inbox=f"{root}/inbox", requests_root=f"{root}/requests", output=f"{root}/out",
+        classifier=means.classifier(), reconstructor=model, thresholds=_thresholds(rows, model).first().asDict(),
+        options=TransformOptions(SIDE, SIDE, "stretch"),
+        base={"threshold_mode": "strict", "top_k": 1, "enabled_outputs": ["classification", "anomaly_autoencoder"]},
+    )
+    number = F.regexp_extract("request_id", r"(\d+)$", 1).cast("long")
+    wanted = request_ops.latest_status(views.requests(spark, sf), ["threshold_mode", "custom_threshold"]).select(
+        "request_id", "threshold_mode", "custom_threshold",
+        # class 10 does not exist, so these requests fail
+        F.concat(F.lit(f"{root}/silver/label_idx="), (number % 11).cast("string")).alias("input_manifest_path"),
+    )
+    serving.submit(wanted, service)
+    serving.serve(spark, service, None).awaitTermination()
+    states = request_ops.latest_status(serving.status_events(spark, service.output)).select("request_id", "status")
+    scored = serving.batch_table(spark, service.output, "scored").where("error IS NULL")
+    sums = scored.groupBy("request_id").agg(
+        F.count("*").alias("rows"),
+        F.round(F.max("anomaly_threshold"), 6).alias("anomaly_threshold"),
+        F.sum("anomalous_pixel_count").alias("anomalous_pixels"),
+        F.count_if("anomaly_is_detected").alias("flagged"),
+        F.sum("classifier_pred_idx").alias("class_sum"),
+    )
+    return states.join(sums, "request_id", "left")
+
+
 def open_requests(spark: SparkSession, sf: str) -> DataFrame:
     return request_ops.open_requests(request_ops.latest_status(views.requests(spark, sf)))
 
@@ -627,6 +666,6 @@ QUERIES = {
         resize_keep_aspect_pad, silver_transform, shape_check, class_means, error_maps, overlay, saliency,
         classify_topk, classifier_eval, image_error_stats, threshold_calibration, anomaly_scores, predictions,
         fitted_classifier, fitted_reconstructor, latest_status, status_merge, pending_requests,
-        request_settings, request_results, open_requests,
+        request_settings, request_results, open_requests, served_requests,
     )
 }
