@@ -101,7 +101,9 @@ def dataset_summary(cells: DataFrame, shard_manifest: DataFrame, lineage: dict[s
         _only_spec(cells).alias("spec"),
     )
     files = shard_manifest.agg(*[F.count_if(F.col("split") == name).alias(f"files_{name}") for name in SPLITS])
-    row = _beside(counts, files, nested)
+    # the other one-row results come in as scalar subqueries, not as joins
+    whole = counts.withColumns({"files": files.select(F.struct("*")).scalar(), "label_counts_by_split": nested.scalar()})
+    row = whole.select("*", "files.*")
     return row.select(
         *[F.lit(value).alias(name) for name, value in lineage.items()],
         _three_way("rows", "total"),
@@ -115,14 +117,6 @@ def dataset_summary(cells: DataFrame, shard_manifest: DataFrame, lineage: dict[s
     )
 
 
-def _beside(*rows: DataFrame) -> DataFrame:
-    """Frames of exactly one row each, side by side."""
-    first, *others = [row.withColumn("_one", F.lit(1)) for row in rows]
-    for other in others:
-        first = first.join(other, "_one")
-    return first.drop("_one")
-
-
 def _sum_where(value: Column, split: str) -> Column:
     return F.coalesce(F.sum(F.when(F.col("split") == split, value)), F.lit(0))
 

@@ -248,17 +248,18 @@ def label_lookup(spark: SparkSession, sf: str) -> DataFrame:
     cells = cut_lineage(_summary_cells(spark, sf))
     labels = summary.label_rows(cells)
     counts = summary.label_counts_by_split(cells)
-    normal = summary.label_of(labels, " _NORMAL ").select(F.col("label_idx").alias("normal_idx"), F.lit(1).alias("one"))
-    absent = summary.label_of(labels, "no such class").select(F.col("label_idx").alias("absent_idx"), F.lit(1).alias("one"))
-    classes = summary.num_classes(labels).withColumn("one", F.lit(1))
     names = F.explode(F.array(*[F.lit(name) for name in (*splits.SPLITS, "holdout")])).alias("split")
     wanted = labels.select(names, "label_idx").unionByName(
         labels.agg((F.max("label_idx") + 1).alias("label_idx")).select(names, "label_idx")
     )
-    rows = summary.label_count(counts, wanted).withColumn("one", F.lit(1))
-    for part in (normal, absent, classes):
-        rows = rows.join(part, "one")
-    return rows.drop("one").withColumn("steps", summary.steps(F.col("rows"), 4))
+    return summary.label_count(counts, wanted).withColumns(
+        {
+            "normal_idx": summary.label_of(labels, " _NORMAL ").scalar(),
+            "absent_idx": summary.label_of(labels, "no such class").scalar(),
+            "num_classes": summary.num_classes(labels).scalar(),
+            "steps": summary.steps(F.col("rows"), 4),
+        }
+    )
 
 
 # -- registries ----------------------------------------------------------------------------
@@ -281,8 +282,7 @@ def registry_latest(spark: SparkSession, sf: str) -> DataFrame:
     for step in range(3):
         registry.upsert_registry(versions.where(F.col("tier") == step), "version", path)
     rows = registry.read_registry(spark, path)
-    current = registry.current_version(rows).withColumn("one", F.lit(1))
-    return rows.withColumn("one", F.lit(1)).join(current, "one").drop("one")
+    return rows.withColumn("current_output_path", registry.current_version(rows).scalar())
 
 
 # -- samples and statistics ----------------------------------------------------------------
