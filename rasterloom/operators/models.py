@@ -154,10 +154,13 @@ class ClassMeans:
 
 def fit_class_means(df: DataFrame, height: int, width: int) -> ClassMeans:
     """Class means in one pass over the training images."""
-    rows = class_sums(df, height, width).select("label_idx", "mean").collect()  # one row per class
+    sums = class_sums(df, height, width).select("label_idx", "mean")
+    # one row per class; one more than a model may hold is enough to refuse it
+    most = MODEL_BYTES // (8 * height * width)
+    rows = sums.limit(most + 1).collect()
     if not rows:
         raise ValueError("no labelled training images")
-    bounded_model((max(row["label_idx"] for row in rows) + 1) * height * width, "class means")
+    bounded_model(max(len(rows), max(row["label_idx"] for row in rows) + 1) * height * width, "class means")
     return ClassMeans({row["label_idx"]: np.array(row["mean"]) for row in rows}, height, width)
 
 

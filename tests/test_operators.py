@@ -336,9 +336,12 @@ def test_fitted_classifier_learns(spark):
     assert statistics.evaluate(scored).first().accuracy == 1.0
 
 
-def test_oversized_models_are_refused():
+def test_oversized_models_are_refused(spark, monkeypatch):
     with pytest.raises(ValueError, match="exceeds"):
         models.bounded_model(10**9, "model")
+    monkeypatch.setattr(models, "MODEL_BYTES", 16 * 8)
+    with pytest.raises(ValueError, match="exceeds"):
+        models.fit_class_means(pixel_rows(spark)[1], 4, 4)
 
 
 # -- requests ------------------------------------------------------------------------------
