@@ -28,12 +28,12 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from rasterloom.llm.texts import joined, keyed, mixed, sliced
+from rasterloom.llm.texts import NO_ID, joined, keyed, mixed, sliced
 
 # Rolling hash: bytes it covers, bits that must be zero at a cut, least bytes of a chunk.
 WINDOW, CUT_BITS, LEAST_CHUNK = 32, 9, 128
-# Words whose ids one Python worker keeps.
-KEPT_WORDS = 300_000
+# Words in each half of those whose ids one Python worker keeps.
+KEPT_WORDS = 250_000
 
 GEAR = (mixed(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 
@@ -59,43 +59,83 @@ class Vocabulary:
         return tokenizer
 
 
+class Mapped(dict):
+    """What a letter becomes before the merges, found by asking the tokenizer once."""
+
+    def __init__(self, tokenizer: Tokenizer):
+        super().__init__()
+        self.tokenizer = tokenizer
+
+    def __missing__(self, code: int) -> str:
+        parts = self.tokenizer.pre_tokenizer.pre_tokenize_str(chr(code))
+        self[code] = "".join(part for part, _ in parts)
+        return self[code]
+
+
 class Encoder:
-    """Ids of texts by looking up their words; words not met before are encoded together."""
+    """Ids of texts by looking up their words; words not met before are encoded.
+
+    A word of letters goes to the tokenizer's merges directly, all others
+    through the whole tokenizer. The words met last are kept, in two halves of
+    which the older one is forgotten when the younger is full.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         self.tokenizer = vocabulary.load()
+        self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.tokens = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
         self.plain = self.tokenizer.decoder is None
-
-    def ids(self, text: str) -> bytes:
-        """The ids as little-endian 32-bit integers."""
-        if not text:
-            return b""
-        simple = text.isascii() and "<|" not in text or not _UNUSUAL.search(text)
-        if simple:
-            text = text.lower()
-        words = text.replace("\n", " ").split(" ")
-        try:
-            return b"".join(map(self.known.__getitem__, words))
-        except KeyError:
-            if len(self.known) > KEPT_WORDS:
-                self.known = {"": b""}
-            self.learn({word for word in words if word not in self.known}, simple)
-            return b"".join(map(self.known.__getitem__, words))
+        self.mapped = Mapped(self.tokenizer)
+        self.direct = all(self.letters(word) == self.whole(word) for word in ("a", "stone", "é", "straße", "überñandúœ"))
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian 32-bit integers."""
+        split, unusual = [], []
+        for text in texts:
+            if text.isascii() and "<|" not in text or not _UNUSUAL.search(text):
+                split.append(text.lower().replace("\n", " ").split(" "))
+            else:
+                split.append(text.replace("\n", " ").split(" "))
+                unusual.append(split[-1])
+        if len(self.known) > KEPT_WORDS:
+            self.older, self.known = self.known, {"": b""}
+        plain = [words for words in split if not any(words is other for other in unusual)] if unusual else split
+        for group, simple in ((unusual, False), (plain, True)):
+            lacking = set().union(*group).difference(self.known)
+            again = {word: self.older[word] for word in lacking if word in self.older}
+            self.known.update(again)
+            self.learn(lacking.difference(again), simple)
+        return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
     def learn(self, words: set[str], simple: bool) -> None:
-        parts: dict[str, tuple[str, str]] = {}
-        if simple:
-            for word in words:
-                core = word.rstrip(_PUNCTUATION)
-                if core and core != word and core.isalpha():
-                    parts[word] = core, word[len(core) :]
-        wanted = {word for word in words if word not in parts}.union(*parts.values()) if parts else words
-        self.add([word for word in wanted if word not in self.known])
-        for word, (core, end) in parts.items():
-            self.known[word] = self.known[core] + self.known[end]
+        if not simple or not self.direct:
+            self.add(list(words))
+            return
+        known, rest, parts = self.known, [], []
+        for word in words:
+            core = word.rstrip(_PUNCTUATION)
+            if not core.isalpha():
+                rest.append(word)
+            elif core == word:
+                known[word] = self.letters(word)
+            else:
+                parts.append((word, core, word[len(core) :]))
+        self.add([*rest, *({end for _, _, end in parts} - known.keys())])
+        for word, core, end in parts:
+            if core not in known:
+                known[core] = self.letters(core)
+            known[word] = known[core] + known[end]
+
+    def letters(self, word: str) -> bytes:
+        """Ids of one lower-case word of letters."""
+        form = word if word.isascii() else word.translate(self.mapped)
+        return b"".join([token.id.to_bytes(4, "little") for token in self.model.tokenize(form)])
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def add(self, words: list[str]) -> None:
         if not words:
@@ -184,14 +224,14 @@ def encode_chunks(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         for part in sliced(batches):
             texts = [text.replace("\n", " ").encode() for text in part.column("text").to_pylist()]
             raw = [text.encode() for text in part.column("text").to_pylist()]
-            digests, ids = [], []
+            digests, parts = [], []
             for text, bounds, own in zip(texts, cuts(raw), part.column("own").to_pylist()):
                 for chunk in own:
                     first, last = blanks(text, bounds[chunk["chunk"]], bounds[chunk["chunk"] + 1])
                     if first < last:
                         digests.append(chunk["digest"])
-                        ids.append(encoder.ids(text[first:last].decode()))
-            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(ids, pa.binary())], names=["digest", "ids"])
+                        parts.append(text[first:last].decode())
+            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(encoder.ids(parts), pa.binary())], names=["digest", "ids"])
 
     return rows.mapInArrow(run, "digest binary, ids binary")
 
@@ -204,8 +244,8 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     counted with partial sums, and the join that hands out its ids is one that
     adaptive execution splits.
     """
-    rows = keyed(docs)
-    chunks = chunk_hashes(rows.select("rid", "rkey", "text"))
+    rows = keyed(docs).select("rid", "rkey", "text")
+    chunks = chunk_hashes(rows)
     place = F.struct("rid", "rkey", "chunk")
     shared = (
         chunks.groupBy("digest").agg(F.count("*").alias("places"), F.min(place).alias("owner")).where("places > 1").drop("places")
@@ -225,35 +265,40 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(vocabulary)
         for part in sliced(batches):
-            found = []
+            stretches, laid = [], []
             for text, reused in zip(part.column("text").to_pylist(), part.column("given").to_pylist()):
-                found.append(assemble(encoder, text, {one["chunk"]: one["ids"] for one in reused or ()}))
+                own, given = pieces(text, {one["chunk"]: one["ids"] for one in reused or ()})
+                stretches += own
+                laid.append(given)
+            made = iter(encoder.ids(stretches))
+            # each stretch is followed by a reused chunk, except a text's last
+            found = [b"".join([part for ids in given for part in (next(made), ids)]) for given in laid]
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column("doc_id"),
+                    part.column("rid"),
                     pa.array([len(ids) // 4 for ids in found], pa.int64()),
                     pa.array(found, pa.binary()),
                     pa.array(map(encoder.text, found), pa.string()),
                 ],
-                names=["doc_id", "n_tokens", "ids", "decoded"],
+                names=["rid", "n_tokens", "ids", "decoded"],
             )
 
-    whole = rows.join(given, ["rid", "rkey"], "left").select("doc_id", "text", "given")
-    return whole.mapInArrow(run, "doc_id long, n_tokens long, ids binary, decoded string")
+    # the same columns as for the owners, so that one exchange of the texts serves both
+    whole = rows.join(given, ["rid", "rkey"], "left").select("rid", "text", "given")
+    encoded = whole.mapInArrow(run, "rid long, n_tokens long, ids binary, decoded string")
+    return encoded.select(F.nullif("rid", F.lit(NO_ID)).alias("doc_id"), "n_tokens", "ids", "decoded")
 
 
-def assemble(encoder: Encoder, text: str, reused: dict[int, bytes]) -> bytes:
-    """Ids of the text from those of reused chunks and of the stretches between them."""
+def pieces(text: str, reused: dict[int, bytes]) -> tuple[list[str], list[bytes]]:
+    """The stretches of a text to encode, and for each the ids that follow it, none for the last."""
     if not reused:
-        return encoder.ids(text)
+        return [text], [b""]
     flat = text.replace("\n", " ").encode()
     (bounds,) = cuts([text.encode()])
-    out, at = [], 0
+    stretches, given, at = [], [], 0
     for chunk in sorted(reused):
         first, last = blanks(flat, bounds[chunk], bounds[chunk + 1])
-        out.append(encoder.ids(flat[at:first].decode()))
-        out.append(reused[chunk])
+        stretches.append(flat[at:first].decode())
+        given.append(reused[chunk])
         at = last
-    out.append(encoder.ids(flat[at:].decode()))
-    return b"".join(out)
-
+    return [*stretches, flat[at:].decode()], [*given, b""]

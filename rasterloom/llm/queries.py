@@ -36,7 +36,7 @@ def op3_secrets(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     found = secrets.findings(docs, secrets.update_ledger(docs))
     base = F.filter("spans", lambda span: span["kind"] < len(secrets.BASE))
-    counts = [F.size(F.filter("spans", lambda span, i=i: span["kind"] == i)).cast("long").alias(f"n_{rule.kind}") for i, rule in enumerate(secrets.BASE)]
+    counts = [secrets.count_of("spans", i).alias(f"n_{rule.kind}") for i, rule in enumerate(secrets.BASE)]
     return found.select("doc_id", *counts, F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"))
 
 
@@ -94,4 +94,42 @@ QUERIES = {
     )
 }
 
-ORACLE: dict[str, str] = {}
+
+def _spans_sql(i: int, rule: secrets.Rule) -> str:
+    pattern = rule.pattern.replace("'", "''")
+    return f"""
+SELECT doc_id, '{rule.kind}' AS kind, {i} AS k, unnest(range(1, len(m) + 1)) AS i, m, v, g, {rule.least} AS least FROM (
+  SELECT doc_id, regexp_extract_all(t, '{pattern}', 0) AS m, regexp_extract_all(t, '{pattern}', {rule.group}) AS v,
+         string_split_regex(t, '{pattern}') AS g FROM d)"""
+
+
+SECRETS_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+h AS ({" UNION ALL ".join(_spans_sql(i, rule) for i, rule in enumerate(secrets.RULES))}),
+s AS (
+  SELECT doc_id, kind, k,
+         (coalesce(list_sum(list_transform(g[1:i], x -> length(x))), 0) + coalesce(list_sum(list_transform(m[1:i-1], x -> length(x))), 0))::BIGINT AS b,
+         length(m[i]) AS n
+  FROM h WHERE length(v[i]) >= least),
+p AS (
+  SELECT doc_id, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+         string_agg(kind || ':' || b || ':' || (b + n), ',' ORDER BY b, k) FILTER (k < {len(secrets.BASE)}) AS base,
+         string_agg(kind || ':' || b || ':' || (b + n), ',' ORDER BY b, k) AS spans
+  FROM s GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN p USING (doc_id)
+"""
+
+LINES_SQL = f"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM d),
+k AS (SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+s AS (SELECT key, max(doc_id) AS top FROM k WHERE length(key) >= {lines.MIN_CHARS} GROUP BY key HAVING count(DISTINCT doc_id) >= {lines.MIN_DOCS}),
+j AS (SELECT k.doc_id, k.line, k.i, s.top IS NOT NULL AND k.doc_id <> s.top AS gone FROM k LEFT JOIN s USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM j GROUP BY doc_id
+"""
+
+ORACLE = {"op3_secrets": SECRETS_SQL, "op4_line_dedup": LINES_SQL}

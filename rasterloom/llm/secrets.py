@@ -112,6 +112,11 @@ def findings(history: DataFrame, ledger: DataFrame) -> DataFrame:
     return places(history).join(held, "blob", "left").select("doc_id", "spans")
 
 
+def count_of(spans: str, kind: int) -> Column:
+    """How many of the spans are of one kind."""
+    return F.size(F.filter(spans, lambda span: span["kind"] == kind)).cast("long")
+
+
 def listed(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     """``kind:start:end`` of the spans, comma-joined."""
     names = F.array(*[F.lit(rule.kind) for rule in rules])

@@ -37,10 +37,12 @@ def sample(docs: DataFrame, marks: DataFrame, bound: int) -> DataFrame:
     """
     counts = {row["label"]: row["count"] for row in marks.groupBy("label").count().collect()}
     each = bound / max(1, len(counts))
-    rate = F.lit(0.0)
+    rate, weight = F.lit(0.0), F.lit(1.0)
     for label, count in counts.items():
-        rate = F.when(F.col("label") == F.lit(label), min(1.0, each / count)).otherwise(rate)
-    taken = marks.withColumn("rate", rate).where(share() < F.col("rate")).withColumn("weight", 1 / F.col("rate")).drop("rate")
+        own = min(1.0, each / count)
+        rate = F.when(F.col("label") == F.lit(label), own).otherwise(rate)
+        weight = F.when(F.col("label") == F.lit(label), 1 / own).otherwise(weight)
+    taken = marks.withColumn("weight", weight).where(share() < rate)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     return texts.join(F.broadcast(taken.limit(2 * bound)), "doc_id").select("doc_id", "text", "label", "weight")
 
