@@ -108,7 +108,7 @@ WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 h AS ({" UNION ALL ".join(_spans_sql(i, rule) for i, rule in enumerate(secrets.RULES))}),
 s AS (
   SELECT doc_id, kind, k,
-         (coalesce(list_sum(list_transform(g[1:i], x -> length(x))), 0) + coalesce(list_sum(list_transform(m[1:i-1], x -> length(x))), 0))::BIGINT AS b,
+         (coalesce(list_sum(list_transform(g[1:i], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(m[1:i-1], lambda x: length(x))), 0))::BIGINT AS b,
          length(m[i]) AS n
   FROM h WHERE length(v[i]) >= least),
 p AS (

@@ -85,9 +85,10 @@ def update_ledger(history: DataFrame, ledger: DataFrame | None = None, rules: tu
     todo = lacking.select(F.col("at.rid").alias("rid"), F.col("at.rkey").alias("rkey"), "blob", "rules")
 
     texts = keyed(history).select("rid", "rkey", "text").join(todo, ["rid", "rkey"])
+    # naming the blob keeps the patterns behind the join, so that copies of a blob are not scanned
     each = F.array(
         *[
-            F.struct(F.lit(i).alias("kind"), F.lit(rule.least).alias("least"), F.when(F.array_contains("rules", rule.name), hits(rule)).alias("hits"))
+            F.struct(F.lit(i).alias("kind"), F.lit(rule.least).alias("least"), F.when(F.array_contains("rules", rule.name) & F.col("blob").isNotNull(), hits(rule)).alias("hits"))
             for i, rule in enumerate(rules)
         ]
     )
