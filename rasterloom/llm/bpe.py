@@ -25,6 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
@@ -33,7 +34,9 @@ from rasterloom.llm.texts import NO_ID, joined, keyed, mixed, sliced
 # Rolling hash: bytes it covers, bits that must be zero at a cut, least bytes of a chunk.
 WINDOW, CUT_BITS, LEAST_CHUNK = 32, 9, 128
 # Words in each half of those whose ids one Python worker keeps.
-KEPT_WORDS = 250_000
+KEPT_WORDS = 150_000
+# Bytes of compressed texts that are encoded together.
+PACKED_BYTES = 400_000
 
 GEAR = (mixed(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 
@@ -197,6 +200,24 @@ def blanks(text: bytes, start: int, end: int) -> tuple[int, int]:
     return text.find(b" ", start, end), text.rfind(b" ", start, end)
 
 
+def squeezed(rows: DataFrame) -> DataFrame:
+    """``rid``, ``rkey`` and the text compressed, for the shuffle: each text alone packs better than blocks of the exchange."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=1)
+        for part in sliced(batches):
+            made = [packer.compress(text.encode()) for text in part.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column("rid"), part.column("rkey"), pa.array(made, pa.binary())], names=["rid", "rkey", "packed"])
+
+    return rows.mapInArrow(run, "rid long, rkey long, packed binary")
+
+
+def unpacked(part: pa.RecordBatch) -> list[bytes]:
+    """The UTF-8 texts of a batch of ``squeezed`` rows."""
+    opener = zstandard.ZstdDecompressor()
+    return [opener.decompress(packed) for packed in part.column("packed").to_pylist()]
+
+
 def chunk_hashes(rows: DataFrame) -> DataFrame:
     """``rid``, ``rkey``, number and 16-byte hash of every chunk of every text."""
 
@@ -221,11 +242,10 @@ def encode_chunks(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(vocabulary)
-        for part in sliced(batches):
-            texts = [text.replace("\n", " ").encode() for text in part.column("text").to_pylist()]
-            raw = [text.encode() for text in part.column("text").to_pylist()]
+        for part in sliced(batches, "packed", PACKED_BYTES):
+            raw = unpacked(part)
             digests, parts = [], []
-            for text, bounds, own in zip(texts, cuts(raw), part.column("own").to_pylist()):
+            for text, bounds, own in zip([text.replace(b"\n", b" ") for text in raw], cuts(raw), part.column("own").to_pylist()):
                 for chunk in own:
                     first, last = blanks(text, bounds[chunk["chunk"]], bounds[chunk["chunk"] + 1])
                     if first < last:
@@ -255,7 +275,9 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         .groupBy("rid", "rkey")
         .agg(F.collect_list("one").alias("own"))
     )
-    encoded = encode_chunks(rows.join(own, ["rid", "rkey"]).select("text", "own"), vocabulary)
+    # one exchange of the packed texts serves the owners and the whole texts
+    packed = squeezed(rows)
+    encoded = encode_chunks(packed.join(own, ["rid", "rkey"]).select("packed", "own"), vocabulary)
     given = (
         chunks.join(encoded, "digest")
         .groupBy("rid", "rkey")
@@ -264,9 +286,9 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(vocabulary)
-        for part in sliced(batches):
+        for part in sliced(batches, "packed", PACKED_BYTES):
             stretches, laid = [], []
-            for text, reused in zip(part.column("text").to_pylist(), part.column("given").to_pylist()):
+            for text, reused in zip(unpacked(part), part.column("given").to_pylist()):
                 own, given = pieces(text, {one["chunk"]: one["ids"] for one in reused or ()})
                 stretches += own
                 laid.append(given)
@@ -283,18 +305,17 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                 names=["rid", "n_tokens", "ids", "decoded"],
             )
 
-    # the same columns as for the owners, so that one exchange of the texts serves both
-    whole = rows.join(given, ["rid", "rkey"], "left").select("rid", "text", "given")
+    whole = packed.join(given, ["rid", "rkey"], "left").select("rid", "packed", "given")
     encoded = whole.mapInArrow(run, "rid long, n_tokens long, ids binary, decoded string")
     return encoded.select(F.nullif("rid", F.lit(NO_ID)).alias("doc_id"), "n_tokens", "ids", "decoded")
 
 
-def pieces(text: str, reused: dict[int, bytes]) -> tuple[list[str], list[bytes]]:
+def pieces(text: bytes, reused: dict[int, bytes]) -> tuple[list[str], list[bytes]]:
     """The stretches of a text to encode, and for each the ids that follow it, none for the last."""
     if not reused:
-        return [text], [b""]
-    flat = text.replace("\n", " ").encode()
-    (bounds,) = cuts([text.encode()])
+        return [text.decode()], [b""]
+    flat = text.replace(b"\n", b" ")
+    (bounds,) = cuts([text])
     stretches, given, at = [], [], 0
     for chunk in sorted(reused):
         first, last = blanks(flat, bounds[chunk], bounds[chunk + 1])
