@@ -12,7 +12,6 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -23,9 +22,9 @@ from rasterloom.operators.statistics import best_epoch, evaluate
 
 # Largest model that may be gathered on the driver and broadcast to executors.
 MODEL_BYTES = 1 << 30
-# PCA through the covariance matrix needs pixels² doubles on the driver.
-PCA_PIXELS = 4096
-# Directions that subspace iteration carries beyond those asked for.
+# Partial sums of one pass are merged from about this many tasks.
+PARTIALS = 512
+# Directions that a search for components carries beyond those asked for.
 SPARE = 8
 
 
@@ -43,6 +42,12 @@ class SoftmaxModel:
     def arrays(self) -> tuple[np.ndarray, np.ndarray]:
         return self.weights, self.bias
 
+    def widened(self, classes: int) -> SoftmaxModel:
+        """With at least ``classes`` classes; those added are never chosen."""
+        more = max(0, classes - len(self.bias))
+        weights = np.concatenate([self.weights, np.zeros((more, self.weights.shape[1]))])
+        return SoftmaxModel(weights, np.concatenate([self.bias, np.full(more, -np.inf)]), self.height, self.width, self.history)
+
 
 @dataclass(frozen=True)
 class Reconstructor:
@@ -80,6 +85,15 @@ def scaled_pixels(df: DataFrame, height: int, width: int, out: str = "x") -> Dat
     return with_kernel(df, [T.StructField(out, T.ArrayType(T.DoubleType()))], start, drop=("processed_bytes",))
 
 
+def few_tasks(df: DataFrame, most: int = PARTIALS) -> DataFrame:
+    """The rows in at most ``most`` tasks, without a shuffle.
+
+    Every task sends one partial sum as large as the model; their number must
+    not grow with the number of input splits.
+    """
+    return df.coalesce(most)
+
+
 def class_sums(df: DataFrame, height: int, width: int) -> DataFrame:
     """``(label_idx, images, mean)`` of the scaled pixels of each class.
 
@@ -112,7 +126,7 @@ def class_sums(df: DataFrame, height: int, width: int) -> DataFrame:
             )
 
     schema = "label_idx int, images long, total array<double>"
-    partials = has_label(df).select("label_idx", "processed_bytes").mapInArrow(partial, schema)
+    partials = few_tasks(has_label(df).select("label_idx", "processed_bytes")).mapInArrow(partial, schema)
     total = Summarizer.metrics("sum").summary(F.col("v")).getField("sum").alias("v")
     images = F.sum("images").alias("images")
     merged = (
@@ -165,32 +179,57 @@ def fit_class_means(df: DataFrame, height: int, width: int) -> ClassMeans:
 
 
 def fit_reconstructor(
-    train: DataFrame, label_idx: int, height: int, width: int, latent: int = 128, rounds: int = 8, seed: int = 42
+    train: DataFrame, label_idx: int, height: int, width: int, latent: int = 128,
+    tolerance: float = 1e-7, most_rounds: int = 500, seed: int = 42,
 ) -> Reconstructor:
-    """Principal components of the normal training images.
-
-    Small images go through ``pyspark.ml``'s PCA. Its covariance matrix has
-    pixels² entries, so larger ones use subspace iteration: each round is one
-    pass in which every task adds up its share of ``Xᵀ(XQ)``.
+    """Principal components of the normal training images, by block Lanczos on their scatter.
+
+    Each round is one pass in which every task adds up its share of ``Xᵀ(XQ)``
+    for the newest block of directions, and all blocks so far span the search.
+    It ends when every wanted component is an eigenvector of the scatter but for
+    ``tolerance`` of the largest eigenvalue, or when the blocks span all pixels,
+    where the answer is exact. The same holds for images of any size. Not having
+    got there within ``most_rounds`` is an error, not an approximate result.
     """
     normal = normal_only(train, label_idx)
     mean = fit_class_means(normal, height, width).reconstructor(label_idx).mean
     size = height * width
     latent = min(latent, size)
-    bounded_model(size * latent, "components")
-    if size <= PCA_PIXELS:
-        centred = scaled_pixels(normal.select("processed_bytes"), height, width).where(F.col("x").isNotNull())
-        fitted = PCA(k=latent, inputCol="v", outputCol="z").fit(centred.select(array_to_vector("x").alias("v")))
-        return Reconstructor(mean, fitted.pc.toArray(), height, width)
-    # a few spare directions make the wanted ones converge fast
-    columns = min(latent + SPARE, size)
-    bounded_model(size * columns, "components")
-    basis = np.linalg.qr(np.random.default_rng(seed).standard_normal((size, columns)))[0]
-    for _ in range(rounds):
-        image = _covariance_times(normal, mean, basis, height, width)
-        share, turn = np.linalg.eigh(basis.T @ image)
-        found, basis = basis @ turn[:, np.argsort(-share)[:latent]], np.linalg.qr(image)[0]
-    return Reconstructor(mean, found, height, width)
+    block = min(latent + SPARE, size)
+    bounded_model(2 * size * block, "components")
+    newest = np.linalg.qr(np.random.default_rng(seed).standard_normal((size, block)))[0]
+    spanned, images = newest, np.zeros((size, 0))
+    for _ in range(most_rounds):
+        images = np.concatenate([images, _covariance_times(normal, mean, newest, height, width)], axis=1)
+        share, turn = np.linalg.eigh(_symmetric(spanned.T @ images))
+        best = np.argsort(-share)[:block]
+        share, found, mapped = share[best], spanned @ turn[:, best], images @ turn[:, best]
+        rest = np.linalg.norm(mapped[:, :latent] - found[:, :latent] * share[:latent], axis=0)
+        if spanned.shape[1] == size or rest.max() <= tolerance * max(share[0], 1e-300):
+            return Reconstructor(mean, found[:, :latent], height, width)
+        if (spanned.shape[1] + block) * size * 16 > MODEL_BYTES:
+            # start again from the best directions when the span has become too large to hold
+            spanned, images = found, mapped
+        newest = _new_directions(images[:, -block:], spanned, size, seed)
+        spanned = np.concatenate([spanned, newest], axis=1)
+    raise ValueError(f"components not found to {tolerance} in {most_rounds} rounds")
+
+
+def _symmetric(matrix: np.ndarray) -> np.ndarray:
+    return (matrix + matrix.T) / 2
+
+
+def _new_directions(images: np.ndarray, spanned: np.ndarray, size: int, seed: int) -> np.ndarray:
+    """Orthonormal directions outside the span: those of the images, filled up with random ones."""
+    room = min(images.shape[1], size - spanned.shape[1])
+    noise = np.random.default_rng(seed + spanned.shape[1]).standard_normal((size, room))
+    wanted = np.concatenate([images / max(np.abs(images).max(), 1e-300), 1e-9 * noise], axis=1)
+    for _ in range(2):
+        wanted = wanted - spanned @ (spanned.T @ wanted)
+    directions, weight, _ = np.linalg.svd(wanted, full_matrices=False)
+    directions = directions[:, :room]
+    directions = directions - spanned @ (spanned.T @ directions)
+    return np.linalg.qr(directions)[0]
 
 
 def _covariance_times(df: DataFrame, mean: np.ndarray, basis: np.ndarray, height: int, width: int) -> np.ndarray:
@@ -215,7 +254,7 @@ def _covariance_times(df: DataFrame, mean: np.ndarray, basis: np.ndarray, height
                 names=["component", "total"],
             )
 
-    partials = df.select("processed_bytes").mapInArrow(partial, "component int, total array<double>")
+    partials = few_tasks(df.select("processed_bytes")).mapInArrow(partial, "component int, total array<double>")
     total = Summarizer.metrics("sum").summary(F.col("v")).getField("sum").alias("v")
     merged = (
         partials.select("component", array_to_vector("total").alias("v"))
@@ -224,7 +263,9 @@ def _covariance_times(df: DataFrame, mean: np.ndarray, basis: np.ndarray, height
         .groupBy("component").agg(total)
         .orderBy("component")
     )
-    return np.stack([row["v"].toArray() for row in merged.collect()], axis=1)  # one row per component
+    rows = merged.collect()  # one row per component
+    shared.destroy()
+    return np.stack([row["v"].toArray() for row in rows], axis=1)
 
 
 def fit_classifier(

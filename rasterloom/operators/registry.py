@@ -11,7 +11,7 @@ from rasterloom.sources.tables import read_manifest
 TRANSFORM_REGISTRY = (
     "transform_version string, generated_at timestamp, target_width int, target_height int,"
     " resize_strategy string, image_mode string, image_format string, foreground_threshold int,"
-    " foreground_crop_enabled boolean, foreground_mask_enabled boolean,"
+    " foreground_crop_enabled boolean, foreground_crop_margin int, foreground_mask_enabled boolean,"
     " intensity_normalization_enabled boolean, partition_by string, partitions int,"
     " shuffle_partitions int, rows_written long, input_manifest_path string,"
     " output_manifest_path string, output_images_path string, debug_export_path string,"

@@ -14,7 +14,8 @@ SUMMARY = (
     " rows_by_split map<string,long>, files_total long, files_by_split map<string,long>,"
     " distinct_labels int, labels array<struct<label_idx:int,pathology:string>>,"
     " label_counts_by_split map<string,map<string,long>>, input_manifest_path string,"
-    " output_path string, output_format string, image_height int, image_width int, channels int"
+    " output_path string, current_output_path string, shard_manifest_path string, dataset_summary_path string,"
+    " output_format string, compression string, image_height int, image_width int, channels int"
 )
 IMAGE_SPEC = ["new_height", "new_width", "channels"]
 
@@ -90,8 +91,16 @@ def dataset_summary(cells: DataFrame, shard_manifest: DataFrame, lineage: dict[s
             F.array_sort(F.collect_list(F.struct(F.col("label_idx").cast("string"), "rows")))
         ).alias("per_label")
     )
+    # every split has a key, also one without rows
+    none = F.create_map().cast("map<string,bigint>")
     nested = per_split.agg(
-        F.map_from_entries(F.collect_list(F.struct("split", "per_label"))).alias("label_counts_by_split")
+        F.create_map(
+            *[
+                part
+                for name in SPLITS
+                for part in (F.lit(name), F.coalesce(F.max_by("per_label", F.when(F.col("split") == name, 1)), none))
+            ]
+        ).alias("label_counts_by_split")
     )
     named = F.when(F.col("label_idx").isNotNull(), F.struct("label_idx", "pathology"))
     counts = cells.agg(
@@ -145,8 +154,8 @@ def label_of(labels: DataFrame, name: str) -> DataFrame:
 
 
 def num_classes(labels: DataFrame, given: int | None = None) -> DataFrame:
-    """Given number, else highest label + 1, else distinct labels; none at all is an error."""
-    seen = F.nullif(F.count_distinct("label_idx"), F.lit(0))
+    """Given number, else highest label + 1, else distinct labels with null as one; no row at all is an error."""
+    seen = F.count_distinct("label_idx") + F.max(F.col("label_idx").isNull().cast("int"))
     none = F.raise_error(F.lit("no labels to infer the number of classes from"))
     inferred = F.coalesce(F.max("label_idx") + 1, seen.cast("int"), none.cast("int"))
     value = F.lit(given).cast("int") if given is not None else inferred
@@ -154,14 +163,12 @@ def num_classes(labels: DataFrame, given: int | None = None) -> DataFrame:
 
 
 def label_count(counts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows of each wanted ``(split, label_idx)``: 0 when the split lacks the label, null without the split."""
-    known = counts.select("split").distinct().withColumn("known", F.lit(True))
-    return (
-        wanted.join(counts, ["split", "label_idx"], "left")
-        .join(known, "split", "left")
-        .withColumn("rows", F.when(F.col("known"), F.coalesce("rows", F.lit(0))))
-        .drop("known")
-    )
+    """Rows of each wanted ``(split, label_idx)``: 0 when the split lacks the label, null for no split.
+
+    The three splits are always known, also one without rows.
+    """
+    rows = F.when(F.col("split").isin(*SPLITS), F.coalesce("rows", F.lit(0)))
+    return wanted.join(counts, ["split", "label_idx"], "left").withColumn("rows", rows)
 
 
 def steps(rows: Column, batch_size: int) -> Column:

@@ -37,12 +37,15 @@ def set_shuffle_partitions(spark: SparkSession, n: int | None) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor reaches: ``spark.checkpoint.dir``, else one of our own.
 
-    The cluster names the folder. Only where it names none (tests on one
-    machine) is a temporary folder taken, once per application.
+    The cluster names the folder. Where it names none, one machine takes a
+    temporary folder, once per application; on a cluster that is an error,
+    since executors would each write to a disk of their own.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", "")
+        if not named and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="rasterloom-"))
     return context.getCheckpointDir()
 

@@ -1,55 +1,26 @@
-"""Sharded training data: Parquet, or example records in TFRecord files.
-
-``spark.dataSource.register(ExampleSource)`` makes ``format("examples")``
-available for reading and writing.
-"""
+"""Sharded training data as Parquet, one folder per split and shard."""
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterator
-from dataclasses import dataclass
-
-import numpy as np
-import pyarrow as pa
-import pyarrow.fs
-import pyarrow.parquet
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.datasource import (
-    DataSource,
-    DataSourceArrowWriter,
-    DataSourceReader,
-    InputPartition,
-    WriterCommitMessage,
-)
 
 from rasterloom.functions.hashing import salt
 from rasterloom.operators.exports import SHARD_MANIFEST
-from rasterloom.sources.tables import prepare_target
+from rasterloom.sources.tables import prepare_target, read_manifest
 
-# Features of an example record, in field order, and the schema they form.
-FEATURES = ["image_bytes", "label_idx", "image_id", "split", "split_id", "shard_id"]
-SCHEMA = "image_bytes binary, label_idx long, image_id string, split string, split_id string, shard_id long"
-INTEGERS = ("label_idx", "shard_id")
 MANIFEST_DIR = "shard_manifest.parquet"
 
-# Bytes of records that a reading task checks together.
-READ_BYTES = 8 * 1024 * 1024
+# Part files that each shard is cut into, each written by its own task. Raise it with the
+# input: three splits of 16 shards are else 48 files, whatever they hold.
+FILES_PER_SHARD = 4
 
-# Fixed values of the record framing: reflected Castagnoli polynomial, mask.
-CRC_POLYNOMIAL = 0x82F63B78
-CRC_MASK = 0xA282EAD8
 
+def export_shards(df: DataFrame, path: str, n: int | None = None, files_per_shard: int = FILES_PER_SHARD) -> DataFrame:
+    """Write the part files of every (split, shard) and return the shard manifest.
 
-def export_shards(df: DataFrame, path: str, fmt: str = "parquet", n: int | None = None, files_per_shard: int = 1) -> DataFrame:
-    """Write one part file per (split, shard) and return the shard manifest.
-
-    ``files_per_shard`` cuts large shards into several part files, each written
-    by its own task; with few shards and much data one task per shard would be
-    the bottleneck. Rows per file come from the write itself: from the commit
-    messages of example files, or from the footers of Parquet files.
+    A salt from the image id cuts a shard into ``files_per_shard`` parts, or
+    fewer if it has few rows. Rows per file come from the footers.
     """
-    spark = df.sparkSession
     missing = F.raise_error(F.lit("processed_bytes must not be null"))
     checked = F.when(F.col("processed_bytes").isNull(), missing).otherwise(F.col("processed_bytes"))
     keys = [F.col("split"), F.col("shard_id")]
@@ -57,28 +28,12 @@ def export_shards(df: DataFrame, path: str, fmt: str = "parquet", n: int | None
         keys.append(salt(F.col("image_id"), files_per_shard))
     rows = df.withColumn("processed_bytes", checked)
     rows = rows.repartition(n, *keys) if n else rows.repartition(*keys)
-    prepare_target(path)
-    if fmt == "parquet":
-        rows.write.mode("overwrite").partitionBy("split", "shard_id").parquet(path)
-        return parquet_shard_manifest(spark, path)
-    if fmt != "examples":
-        raise ValueError(f"format must be parquet or examples, got {fmt!r}")
-    spark.dataSource.register(ExampleSource)
-    export_id = F.col("export_id") if "export_id" in df.columns else F.lit(None).cast("string")
-    rows.select(
-        F.col("processed_bytes").alias("image_bytes"),
-        F.col("label_idx").cast("long").alias("label_idx"),
-        "image_id",
-        "split",
-        F.coalesce("split_id", F.lit("")).alias("split_id"),
-        F.col("shard_id").cast("long").alias("shard_id"),
-        export_id.alias("export_id"),
-    ).write.format("examples").mode("overwrite").save(path)
-    return spark.read.parquet(f"{path}/{MANIFEST_DIR}")
+    rows.write.mode("overwrite").partitionBy("split", "shard_id").parquet(prepare_target(path))
+    return shard_manifest(df.sparkSession, path)
 
 
-def parquet_shard_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Shard manifest of a Parquet export; reads file footers, no column data."""
+def shard_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of every part file of an export; reads file footers, no column data."""
     file_path = F.col("_metadata.file_path")
     relative = F.regexp_extract(file_path, r"(split=[^/]*/shard_id=[^/]*/[^/]+)$", 1)
     return (
@@ -89,301 +44,17 @@ def parquet_shard_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_shard_manifest(counts: DataFrame, path: str, export_id: str) -> None:
-    """One file with one row per part file."""
-    (
-        counts.withColumn("export_id", F.lit(export_id))
-        .select(*SHARD_MANIFEST)
-        .coalesce(1)
-        .write.mode("overwrite")
-        .parquet(f"{path}/{MANIFEST_DIR}")
-    )
+    """One row per part file."""
+    rows = counts.withColumn("export_id", F.lit(export_id)).select(*SHARD_MANIFEST)
+    rows.write.mode("overwrite").parquet(f"{path}/{MANIFEST_DIR}")
 
 
-def read_examples(spark: SparkSession, path: str, limit: int | None = 200) -> DataFrame:
-    """Example records as rows, with the byte length in place of the bytes."""
-    spark.dataSource.register(ExampleSource)
-    rows = spark.read.format("examples").load(path).select(
+def read_examples(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
+    """Exported rows with the byte length in place of the bytes; all of them, or a preview of ``limit``."""
+    rows = read_manifest(spark, path).select(
         "image_id", "split", "split_id",
         F.col("label_idx").cast("int").alias("label_idx"),
         F.col("shard_id").cast("int").alias("shard_id"),
-        F.octet_length("image_bytes").alias("image_bytes_len"),
+        F.octet_length("processed_bytes").alias("image_bytes_len"),
     )
     return rows.limit(limit) if limit is not None else rows
-
-
-class ExampleSource(DataSource):
-    """Example records under ``split=…/shard_id=…/part-NNNNN.tfrecord``."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "examples"
-
-    def schema(self) -> str:
-        return SCHEMA
-
-    def reader(self, schema) -> DataSourceReader:
-        return ExampleReader(self.options["path"])
-
-    def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
-        return ExampleWriter(self.options["path"], overwrite)
-
-
-@dataclass
-class ExampleFile(InputPartition):
-    path: str
-
-
-class ExampleReader(DataSourceReader):
-    """One task per file."""
-
-    def __init__(self, path: str):
-        self.path = path
-
-    def partitions(self) -> list[ExampleFile]:
-        fs, root = pa.fs.FileSystem.from_uri(_uri(self.path))
-        found = fs.get_file_info(pa.fs.FileSelector(root, recursive=True))
-        return [ExampleFile(info.path) for info in sorted(found, key=lambda f: f.path) if info.path.endswith(".tfrecord")]
-
-    def read(self, partition: ExampleFile) -> Iterator[tuple]:
-        fs, _ = pa.fs.FileSystem.from_uri(_uri(self.path))
-        with fs.open_input_stream(partition.path) as stream:
-            heads, records, checks, held = [], [], [], 0
-            while True:
-                head = stream.read(12)
-                if head:
-                    record = stream.read(int.from_bytes(head[:8], "little"))
-                    heads.append(head[:8])
-                    records.append(record)
-                    checks.append(head[8:] + stream.read(4))
-                    held += len(record)
-                # checksums are computed for many records at once
-                if records and (not head or held > READ_BYTES):
-                    found = np.stack([_masked(heads), _masked(records)], axis=1).astype("<u4")
-                    if found.tobytes() != b"".join(checks):
-                        raise ValueError(f"damaged record in {partition.path}")
-                    yield from map(_parse_example, records)
-                    heads, records, checks, held = [], [], [], 0
-                if not head:
-                    return
-
-
-@dataclass
-class Written(WriterCommitMessage):
-    """Part files of one task: ``(split, shard_id, final name, staged name, rows, export_id)``."""
-
-    files: list[tuple]
-
-
-class ExampleWriter(DataSourceArrowWriter):
-    """Tasks write staged files; the commit moves those of successful tasks into place."""
-
-    def __init__(self, path: str, overwrite: bool):
-        self.path, self.overwrite = path, overwrite
-        self.staging = f"_staging-{uuid.uuid4().hex}"
-
-    def _root(self):
-        return pa.fs.FileSystem.from_uri(_uri(self.path))
-
-    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
-        from pyspark import TaskContext
-
-        context = TaskContext.get()
-        task, attempt = context.partitionId(), context.taskAttemptId()
-        fs, root = self._root()
-        fs.create_dir(f"{root}/{self.staging}", recursive=True)
-        streams, rows, ids = {}, {}, {}
-        try:
-            for batch in iterator:
-                columns = batch.to_pydict()
-                records = [_make_example(*values) for values in zip(*(columns[name] for name in FEATURES))]
-                for key, record, export_id in zip(
-                    zip(columns["split"], columns["shard_id"]), _framed(records), columns["export_id"]
-                ):
-                    if key not in streams:
-                        name = f"{self.staging}/{key[0]}-{key[1]}-{task}-{attempt}"
-                        streams[key], rows[key], ids[key] = fs.open_output_stream(f"{root}/{name}"), 0, export_id
-                    streams[key].write(record)
-                    rows[key] += 1
-        finally:
-            for stream in streams.values():
-                stream.close()
-        return Written(
-            [
-                (split, shard, f"split={split}/shard_id={shard}/part-{task:05d}.tfrecord",
-                 f"{self.staging}/{split}-{shard}-{task}-{attempt}", rows[split, shard], ids[split, shard])
-                for split, shard in streams
-            ]
-        )
-
-    def commit(self, messages: list[Written | None]) -> None:
-        fs, root = self._root()
-        files = sorted(file for message in messages if message for file in message.files)
-        if self.overwrite:
-            for info in fs.get_file_info(pa.fs.FileSelector(root, allow_not_found=True)):
-                if info.type == pa.fs.FileType.Directory and info.base_name.startswith("split="):
-                    fs.delete_dir(info.path)
-        for _, _, final, staged, _, _ in files:
-            fs.create_dir(f"{root}/{final.rsplit('/', 1)[0]}", recursive=True)
-            fs.move(f"{root}/{staged}", f"{root}/{final}")
-        manifest = pa.table(
-            {
-                "export_id": pa.array([f[5] for f in files], pa.string()),
-                "split": pa.array([f[0] for f in files], pa.string()),
-                "shard_id": pa.array([f[1] for f in files], pa.int32()),
-                "relative_path": pa.array([f[2] for f in files], pa.string()),
-                "rows_written": pa.array([f[4] for f in files], pa.int64()),
-            }
-        )
-        fs.create_dir(f"{root}/{MANIFEST_DIR}", recursive=True)
-        pa.parquet.write_table(manifest, f"{root}/{MANIFEST_DIR}/part-00000.parquet", filesystem=fs)
-        self._drop_staging(fs, root)
-
-    def abort(self, messages: list[Written | None]) -> None:
-        self._drop_staging(*self._root())
-
-    def _drop_staging(self, fs, root: str) -> None:
-        if fs.get_file_info(f"{root}/{self.staging}").type == pa.fs.FileType.Directory:
-            fs.delete_dir(f"{root}/{self.staging}")
-
-
-def _uri(path: str) -> str:
-    return path if "://" in path else f"file://{path.removeprefix('file:')}"
-
-
-# -- record framing: length, masked CRC of it, payload, masked CRC of that -----------------
-
-
-def _framed(records: list[bytes]) -> Iterator[bytes]:
-    heads = [len(record).to_bytes(8, "little") for record in records]
-    for head, head_crc, record, crc in zip(heads, _masked(heads), records, _masked(records)):
-        yield b"".join((head, int(head_crc).to_bytes(4, "little"), record, int(crc).to_bytes(4, "little")))
-
-
-def _masked(parts: list[bytes]) -> np.ndarray:
-    crc = crc32c(parts)
-    return ((crc >> np.uint32(15)) | (crc << np.uint32(17))) + np.uint32(CRC_MASK)
-
-
-def crc_table() -> np.ndarray:
-    """CRC of each single byte."""
-    values = np.arange(256, dtype=np.uint32)
-    for _ in range(8):
-        values = np.where(values & 1, (values >> 1) ^ np.uint32(CRC_POLYNOMIAL), values >> 1).astype(np.uint32)
-    return values
-
-
-def crc32c(parts: list[bytes], lanes: int = 64) -> np.ndarray:
-    """CRC-32C of many byte strings at once.
-
-    Leading zeros do not change a checksum that starts from 0, so all strings are
-    padded in front to one length and cut into lanes that are folded side by
-    side; the lanes are then joined by shifting over the bytes that follow. The
-    usual all-ones start value is added the same way.
-    """
-    if not parts:
-        return np.zeros(0, np.uint32)
-    table = crc_table()
-    longest = max(map(len, parts))
-    width = max(1, -(-longest // lanes))
-    padded = np.zeros((len(parts), lanes * width), np.uint8)
-    for i, part in enumerate(parts):
-        padded[i, lanes * width - len(part) :] = np.frombuffer(part, np.uint8)
-    lane = np.zeros((len(parts), lanes), np.uint32)
-    cut = padded.reshape(len(parts), lanes, width)
-    for k in range(width):
-        lane = table[(lane ^ cut[:, :, k]) & 0xFF] ^ (lane >> np.uint32(8))
-    over_lane = _zero_shift(width, table)
-    crc = np.zeros(len(parts), np.uint32)
-    for k in range(lanes):
-        crc = _apply(over_lane, crc) ^ lane[:, k]
-    ones = np.full(1, 0xFFFFFFFF, np.uint32)
-    starts = {n: _apply(_zero_shift(n, table), ones)[0] for n in {len(part) for part in parts}}
-    return crc ^ np.array([starts[len(part)] for part in parts], np.uint32) ^ np.uint32(0xFFFFFFFF)
-
-
-def _apply(shift: np.ndarray, crc: np.ndarray) -> np.ndarray:
-    """Image of checksums under a linear map given by its 32 columns."""
-    bits = (crc[:, None] >> np.arange(32, dtype=np.uint32)) & np.uint32(1)
-    return np.bitwise_xor.reduce(np.where(bits == 1, shift, np.uint32(0)), axis=1)
-
-
-def _zero_shift(count: int, table: np.ndarray) -> np.ndarray:
-    """Columns of the map that feeds ``count`` zero bytes to a checksum."""
-    unit = np.uint32(1) << np.arange(32, dtype=np.uint32)
-    result, step = unit, table[unit & 0xFF] ^ (unit >> np.uint32(8))
-    while count:
-        if count & 1:
-            result = _apply(step, result)
-        step = _apply(step, step)
-        count >>= 1
-    return result
-
-
-# -- example message: a map from feature name to one bytes or integer value ----------------
-
-
-def _varint(value: int) -> bytes:
-    value &= (1 << 64) - 1
-    out = bytearray()
-    while value > 0x7F:
-        out.append(value & 0x7F | 0x80)
-        value >>= 7
-    out.append(value)
-    return bytes(out)
-
-
-def _field(number: int, payload: bytes) -> bytes:
-    return bytes([number << 3 | 2]) + _varint(len(payload)) + payload
-
-
-def _make_example(*values) -> bytes:
-    entries = []
-    for name, value in zip(FEATURES, values):
-        if name in INTEGERS:
-            feature = _field(3, _field(1, _varint(value)))
-        else:
-            feature = _field(1, _field(1, value.encode() if isinstance(value, str) else value))
-        entries.append(_field(1, _field(1, name.encode()) + _field(2, feature)))
-    return _field(1, b"".join(entries))
-
-
-def _fields(message: bytes) -> Iterator[tuple[int, bytes | int]]:
-    at = 0
-
-    def varint() -> int:
-        nonlocal at
-        value = shift = 0
-        while True:
-            byte = message[at]
-            at += 1
-            value |= (byte & 0x7F) << shift
-            shift += 7
-            if byte < 0x80:
-                return value
-
-    while at < len(message):
-        tag = varint()
-        if tag & 7 == 0:
-            yield tag >> 3, varint()
-        else:
-            size = varint()
-            yield tag >> 3, message[at : at + size]
-            at += size
-
-
-def _parse_example(record: bytes) -> tuple:
-    found = {}
-    for _, features in _fields(record):
-        for _, entry in _fields(features):
-            pair = dict(_fields(entry))
-            kind, values = next(_fields(pair[2]))
-            (_, value), *_ = _fields(values)
-            if kind == 3 and isinstance(value, bytes):  # packed integers
-                value = next(_fields(b"\x08" + value))[1]
-            if kind == 3 and value >= 1 << 63:
-                value -= 1 << 64
-            found[pair[1].decode()] = value
-    return tuple(
-        found[name].decode() if isinstance(found[name], bytes) and name != "image_bytes" else found[name]
-        for name in FEATURES
-    )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import posixpath
+import re
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -64,10 +66,10 @@ def write_partitioned(df: DataFrame, path: str, partition_by: list[str] = (), mo
 
 def prepare_target(path: str, current: str | None = None) -> str:
     """Refuse a filesystem root, and an output that is its own ``current`` version."""
-    bare = path.split(":", 1)[-1].rstrip("/")
-    if not bare or bare.count("/") < 1 or (bare.startswith("//") and bare.count("/") < 3):
+    scheme, place = re.match(r"(?:([^/:]*:)(//[^/]*)?)?(.*)", path, re.S).group(1, 3)
+    if posixpath.normpath("/" + place if scheme or place.startswith("/") else place).strip("/") in ("", "."):
         raise ValueError(f"refusing to replace a filesystem root: {path!r}")
-    if current is not None and current.rstrip("/") == path.rstrip("/"):
+    if current is not None and posixpath.normpath(current) == posixpath.normpath(path):
         raise ValueError("the current path must differ from the output path")
     return path
 

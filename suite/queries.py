@@ -145,11 +145,12 @@ def wide_key_split(spark: SparkSession, sf: str) -> DataFrame:
 
 def export_input(spark: SparkSession, sf: str) -> DataFrame:
     """Export rows of the documents' manifest; the document text stands for image bytes."""
-    texts = table(spark, sf, "documents").select("doc_id", F.encode("text", "UTF-8").alias("processed_bytes"))
-    listing = manifests.keep_images(views.manifest(spark, sf))
-    rows = listing.select(
-        "doc_id", paths.image_id(F.col("path")).alias("image_id"), (F.col("doc_id") % 20).cast("int").alias("label_idx")
-    ).join(texts, "doc_id")
+    rows = manifests.keep_images(views.manifest(spark, sf, "text")).select(
+        "doc_id",
+        paths.image_id(F.col("path")).alias("image_id"),
+        (F.col("doc_id") % 20).cast("int").alias("label_idx"),
+        F.encode("text", "UTF-8").alias("processed_bytes"),
+    )
     return splits.export_rows(splits.assign_split(rows, split_id="s1"), "e1")
 
 
@@ -166,7 +167,7 @@ def shard_assignment(spark: SparkSession, sf: str) -> DataFrame:
 def export_parquet_shards(spark: SparkSession, sf: str) -> DataFrame:
     """Shard manifest of a Parquet export, written next to it and read back."""
     path = scratch_path(spark, "shards")
-    counts = examples.export_shards(export_input(spark, sf), path)
+    counts = examples.export_shards(export_input(spark, sf), path, files_per_shard=1)
     examples.write_shard_manifest(counts, path + "-manifest", "e1")
     written = spark.read.parquet(f"{path}-manifest/{examples.MANIFEST_DIR}")
     totals = exports.written_by_split(written, "rows_in_split").join(exports.files_by_split(written), "split")
@@ -177,10 +178,10 @@ def export_parquet_shards(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def export_example_shards(spark: SparkSession, sf: str) -> DataFrame:
-    """Example records written in three files per shard and read back whole."""
+    """Training rows written in three files per shard and read back whole."""
     path = scratch_path(spark, "examples")
-    examples.export_shards(export_input(spark, sf), path, "examples", files_per_shard=3)
-    return examples.read_examples(spark, path, limit=None)
+    examples.export_shards(export_input(spark, sf), path, files_per_shard=3)
+    return examples.read_examples(spark, path)
 
 
 def _fake_write(df: DataFrame) -> DataFrame:

@@ -38,8 +38,9 @@ def _over(spark: SparkSession, sf: str, name: str, text: str) -> DataFrame:
     return spark.sql(text.replace(f"FROM {name}", f"FROM {{{name}}}"), **{name: table(spark, sf, name)})
 
 
-def manifest(spark: SparkSession, sf: str) -> DataFrame:
-    return _over(spark, sf, "documents", MANIFEST)
+def manifest(spark: SparkSession, sf: str, *more: str) -> DataFrame:
+    """The listing, with further columns of ``documents``."""
+    return _over(spark, sf, "documents", MANIFEST.replace(" FROM documents", "".join(f", {name}" for name in more) + " FROM documents"))
 
 
 def requests(spark: SparkSession, sf: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Sharded exports: framing, round trip, reconciliation."""
+"""Sharded exports: round trip, reconciliation."""
 
 import glob
 
@@ -18,30 +18,11 @@ def rows(spark, n=300):
     return splits.export_rows(splits.assign_split(base, split_id="s"), "e", n_shards=4)
 
 
-def test_known_checksums():
-    assert [hex(c) for c in examples.crc32c([b"123456789", b"\0" * 32, b"", b"a" * 1000])][:3] == [
-        "0xe3069283", "0x8a9136aa", "0x0"
-    ]
-
-
-def test_checksums_of_mixed_lengths_equal_those_alone():
-    parts = [bytes(range(i % 256)) * (i % 5) for i in range(40)]
-    alone = [int(examples.crc32c([p])[0]) for p in parts]
-    assert examples.crc32c(parts).tolist() == alone
-
-
-def test_message_round_trip():
-    values = (b"\x00\xff", 3, "id", "train", "", 2**40)
-    assert examples._parse_example(examples._make_example(*values)) == values
-    negative = (b"", -5, "ü", "val", "s", 0)
-    assert examples._parse_example(examples._make_example(*negative)) == negative
-
-
-@pytest.mark.parametrize("fmt,pieces", [("parquet", 1), ("parquet", 3), ("examples", 1), ("examples", 3)])
-def test_round_trip(spark, tmp_path, fmt, pieces):
+@pytest.mark.parametrize("pieces", [1, 3])
+def test_round_trip(spark, tmp_path, pieces):
     path = str(tmp_path / "out")
     source = rows(spark)
-    manifest = examples.export_shards(source, path, fmt, 8, pieces)
+    manifest = examples.export_shards(source, path, 8, pieces)
     got = {(r.split, r.shard_id): r.n for r in manifest.groupBy("split", "shard_id").agg(F.sum("rows_written").alias("n")).collect()}
     want = {(r.split, r.shard_id): r["count"] for r in source.groupBy("split", "shard_id").count().collect()}
     assert got == want
@@ -49,38 +30,24 @@ def test_round_trip(spark, tmp_path, fmt, pieces):
     assert per_shard == 1 if pieces == 1 else per_shard > 1
     for relative in (r.relative_path for r in manifest.collect()):
         assert glob.glob(f"{path}/{relative}")
-    if fmt == "examples":
-        back = examples.read_examples(spark, path, limit=None)
-        same = ["image_id", "split", "split_id", "label_idx", "shard_id"]
-        assert sorted(map(tuple, back.select(*same).collect())) == sorted(map(tuple, source.select(*same).collect()))
-        assert back.agg(F.sum("image_bytes_len")).first()[0] == source.agg(F.sum(F.octet_length("processed_bytes"))).first()[0]
-        assert examples.read_examples(spark, path).count() == 200
-        assert not glob.glob(f"{path}/_staging*")
-        bytes_back = spark.read.format("examples").load(path).select("image_id", "image_bytes")
-        lost = bytes_back.join(source, "image_id").where(F.col("image_bytes") != F.col("processed_bytes"))
-        assert lost.count() == 0
+    back = examples.read_examples(spark, path)
+    same = ["image_id", "split", "split_id", "label_idx", "shard_id"]
+    assert sorted(map(tuple, back.select(*same).collect())) == sorted(map(tuple, source.select(*same).collect()))
+    assert back.agg(F.sum("image_bytes_len")).first()[0] == source.agg(F.sum(F.octet_length("processed_bytes"))).first()[0]
+    assert examples.read_examples(spark, path, limit=20).count() == 20
 
 
-def test_overwrite_replaces_and_damage_is_found(spark, tmp_path):
+def test_overwrite_replaces(spark, tmp_path):
     path = str(tmp_path / "out")
-    examples.export_shards(rows(spark), path, "examples", 8)
-    examples.export_shards(rows(spark, 50), path, "examples", 8)
-    assert spark.read.format("examples").load(path).count() == 50
-    victim = sorted(glob.glob(f"{path}/split=*/shard_id=*/*.tfrecord"))[0]
-    content = bytearray(open(victim, "rb").read())
-    content[20] ^= 1
-    open(victim, "wb").write(bytes(content))
-    with pytest.raises(Exception, match="damaged record"):
-        spark.read.format("examples").load(path).count()
+    examples.export_shards(rows(spark), path)
+    examples.export_shards(rows(spark, 50), path)
+    assert examples.read_examples(spark, path).count() == 50
 
 
 def test_null_bytes_fail(spark, tmp_path):
     broken = rows(spark, 20).withColumn("processed_bytes", F.when(F.col("label_idx") != 3, F.col("processed_bytes")))
-    for fmt in ("parquet", "examples"):
-        with pytest.raises(Exception, match="processed_bytes must not be null"):
-            examples.export_shards(broken, str(tmp_path / fmt), fmt)
-    with pytest.raises(ValueError):
-        examples.export_shards(broken, str(tmp_path / "x"), "csv")
+    with pytest.raises(Exception, match="processed_bytes must not be null"):
+        examples.export_shards(broken, str(tmp_path / "out"))
 
 
 def test_complete_export_reconciles(spark, tmp_path):
@@ -97,7 +64,6 @@ def test_shard_manifest_and_split_files(spark, tmp_path):
     examples.write_shard_manifest(examples.export_shards(rows(spark), path), path + "-m", "e9")
     manifest = spark.read.parquet(f"{path}-m/{examples.MANIFEST_DIR}")
     assert manifest.columns == ["export_id", "split", "shard_id", "relative_path", "rows_written"]
-    assert len(glob.glob(f"{path}-m/{examples.MANIFEST_DIR}/*.parquet")) == 1
     files = exports.split_files(manifest.withColumn("split", F.regexp_replace("split", "val", "other")), path).collect()
     assert {f.split for f in files} == {"train", "test"}
     assert [tuple(f) for f in files] == sorted(tuple(f) for f in files)

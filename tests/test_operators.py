@@ -157,6 +157,7 @@ def test_number_of_classes(spark):
     labels = spark.createDataFrame([(0, "a"), (4, "b")], "label_idx int, pathology string")
     assert summary.num_classes(labels).first()[0] == 5
     assert summary.num_classes(labels, 7).first()[0] == 7
+    assert summary.num_classes(spark.createDataFrame([(None, "a")], "label_idx int, pathology string")).first()[0] == 1
     with pytest.raises(Exception, match="no labels"):
         summary.num_classes(labels.where("false")).collect()
     assert summary.label_of(labels, " b ").first()[0] == 4
@@ -190,13 +191,15 @@ def test_exact_quantiles(spark, kind):
     assert np.allclose([got[k] for k in shares], [np.percentile(values, s * 100) for s in shares.values()])
 
 
-def test_thresholds_do_not_depend_on_the_number_of_rows(spark, monkeypatch):
+def test_thresholds_are_exact(spark):
     rng = np.random.default_rng(8)
-    rows = spark.createDataFrame([(float(m), float(x)) for m, x in rng.random((500, 2))], "mean_error double, max_error double")
-    few = statistics.calibrate_threshold(rows).first().asDict()
-    monkeypatch.setattr(statistics, "BUFFERED_ROWS", 10)
-    many = statistics.calibrate_threshold(rows).first().asDict()
-    assert few.keys() == many.keys() and all(np.isclose(few[k], many[k]) for k in few)
+    errors = rng.random((500, 2))
+    rows = spark.createDataFrame([(float(m), float(x)) for m, x in errors], "mean_error double, max_error double")
+    found = statistics.calibrate_threshold(rows).first()
+    assert found["threshold_strict"] == errors[:, 1].max() and found["normal_images_evaluated"] == 500
+    for name, share in (("threshold_p99", 99), ("threshold_p95", 95)):
+        assert np.isclose(found[name], np.percentile(errors[:, 1], share))
+    assert np.isclose(found["max_pixel_error_std"], errors[:, 1].std()) and np.isclose(found["mean_pixel_error_mean"], errors[:, 0].mean())
 
 
 def test_running_equals_one_window(spark):
@@ -308,17 +311,28 @@ def test_class_sums_equal_numpy(spark):
         assert np.allclose(got[label], levels[label::2].mean(axis=0) / 255)
 
 
-@pytest.mark.parametrize("route", ["pca", "iteration"])
-def test_reconstructor_spans_the_principal_components(spark, monkeypatch, route):
-    if route == "iteration":
-        monkeypatch.setattr(models, "PCA_PIXELS", 1)
+def test_reconstructor_spans_the_principal_components(spark):
     levels, rows = pixel_rows(spark)
-    model = models.fit_reconstructor(rows, 0, 4, 4, latent=2)
     x = levels[0::2] / 255
     _, _, vt = np.linalg.svd(x - x.mean(axis=0))
-    expected = vt[:2].T @ vt[:2]
-    assert np.allclose(model.components @ model.components.T, expected, atol=1e-6)
-    assert np.allclose(model.mean, x.mean(axis=0))
+    for latent in (2, 16, 40):
+        model = models.fit_reconstructor(rows, 0, 4, 4, latent=latent)
+        assert np.allclose(model.components @ model.components.T, vt[:latent].T @ vt[:latent], atol=1e-6)
+        assert np.allclose(model.mean, x.mean(axis=0))
+
+
+def test_reconstructor_of_many_pixels_and_a_slow_spectrum(spark):
+    side, images = 68, 60  # more than 4,096 pixels
+    rng = np.random.default_rng(4)
+    levels = rng.integers(0, 256, (images, side * side), dtype=np.uint8)
+    rows = spark.createDataFrame([(0, bytearray(x.tobytes())) for x in levels], "label_idx int, processed_bytes binary").repartition(4)
+    x = levels / 255 - (levels / 255).mean(axis=0)
+    _, weight, vt = np.linalg.svd(x, full_matrices=False)
+    assert weight[20] > 0.7 * weight[0]
+    model = models.fit_reconstructor(rows, 0, side, side, latent=20)
+    expected = np.abs(x - x @ vt[:20].T @ vt[:20]).max(axis=1)
+    found = np.abs(x - x @ model.components @ model.components.T).max(axis=1)
+    assert np.allclose(found, expected, rtol=1e-3)
 
 
 def test_fitted_classifier_learns(spark):
