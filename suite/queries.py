@@ -496,9 +496,13 @@ def anomaly_scores(spark: SparkSession, sf: str) -> DataFrame:
     rows = silver(spark, sf)
     model = _means(rows).reconstructor(NORMAL)
     info = _thresholds(rows, model).first().asDict()
-    modes = F.explode(F.array(*[F.lit(m) for m in ("strict", "p99", "p95", "custom")])).alias("mode")
-    limit = scoring.pick_threshold(F.col("mode"), F.lit(0.25), info)
-    scored = scoring.score_anomaly(rows.select("vec_id", "processed_bytes", modes), model, limit)
+    modes = ("strict", "p99", "p95", "custom")
+    limits = F.array(*[scoring.pick_threshold(F.lit(mode), F.lit(0.25), info) for mode in modes])
+    counted = scoring.kernel_scores(rows.select("vec_id", "processed_bytes", limits.alias("limits")), None, model, "limits")
+    # images are scored once; the modes part only afterwards
+    named = F.array(*[F.lit(mode) for mode in modes]).alias("mode")
+    each = counted.select("vec_id", "max_error", F.inline(F.arrays_zip(named, F.col("limits").alias("anomaly_threshold"), F.col("anomalous_pixel_counts").alias("anomalous_pixel_count"))))
+    scored = scoring.with_anomaly(each, SIDE * SIDE)
     size = scoring.total_pixels(
         F.lit(None).cast("int"), F.lit(None).cast("int"), F.lit(None).cast("int"), F.lit(None).cast("int"),
         F.col("anomalous_pixel_count"), F.col("anomaly_ratio"),
