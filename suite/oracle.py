@@ -453,6 +453,11 @@ sums AS (SELECT request_id, count(*) AS rows, round(max(t), 6) AS anomaly_thresh
   count(*) FILTER (n > 0) AS flagged, sum(k)::BIGINT AS class_sum FROM hits JOIN ranked USING (vec_id) WHERE rk = 1 GROUP BY request_id)
 SELECT request_id, CASE WHEN label = 10 THEN 'failed' ELSE 'done' END AS status, rows, anomaly_threshold, anomalous_pixels, flagged, class_sum
 FROM asked LEFT JOIN sums USING (request_id)"""
+ORACLE["full_reconstructor"] = "SELECT vec_id, 0::DOUBLE AS max_error, 0::DOUBLE AS mean_error FROM embeddings"
+ORACLE["preview_membership"] = f"WITH {ENRICHED} SELECT least(count(*), 10) AS shown, least(count(*), 10) AS known FROM kept"
+ORACLE["manifest_reconciled"] = """SELECT sha256('file:/raw/_NORMAL/' || vec_id || '.png') AS image_id, label::INT AS label_idx,
+  CASE WHEN vec_id % 7 <> 0 THEN 64 END::INT AS size, CASE WHEN vec_id % 7 = 0 THEN 'missing image' END AS error
+FROM embeddings WHERE vec_id % 5 <> 0"""
 
 # Queries whose result SQL does not fix: a preview by any rows, and models fitted iteratively.
 WITHOUT_SQL = ("manifest_preview", "fitted_classifier", "fitted_reconstructor")

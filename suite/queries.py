@@ -10,6 +10,7 @@ from rasterloom.operators import (
     sampling, scoring, splits, statistics, summary,
 )
 from rasterloom.operators.images import TransformOptions
+from rasterloom.plans import jobs
 from rasterloom.session import cut_lineage, scratch_path
 from rasterloom.sources import examples, tables
 from rasterloom.streaming import requests as serving
@@ -94,6 +95,26 @@ def manifest_preview(spark: SparkSession, sf: str) -> DataFrame:
     return sampling.preview(manifest_enrich(spark, sf), 10)
 
 
+def preview_membership(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of a preview, and how many of them the manifest has."""
+    rows = manifest_enrich(spark, sf)
+    shown = sampling.preview(rows, 10)
+    known = rows.select("image_id", F.lit(1).alias("known")).distinct()
+    return shown.join(known, "image_id", "left").agg(F.count("*").alias("shown"), F.count("known").alias("known"))
+
+
+def manifest_reconciled(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver rows and dead letters of a manifest whose images are partly gone, in a tree that holds others too."""
+    path = F.concat(F.lit("file:/raw/_NORMAL/"), F.col("vec_id"), F.lit(".png")).alias("path")
+    given = views.images(spark, sf).select("vec_id", path, F.lit(64).alias("length"), "label_idx", "height", "width", F.lit(1).alias("channels"), F.col("pixels").alias("data"))
+    bronze = jobs.wanted_images(manifests.enrich_manifest(given.where("vec_id % 5 <> 0"), keep=("label_idx",)))
+    tree = given.where("vec_id % 7 <> 0")
+    options = TransformOptions(SIDE, SIDE, "stretch")
+    made = image_ops.transform_images(jobs.manifest_images(bronze, tree), options)
+    gone = image_ops.transform_images(jobs.missing_images(bronze, made), options).withColumn("error", F.lit("missing image"))
+    return made.unionByName(gone).select("image_id", "label_idx", F.octet_length("processed_bytes").alias("size"), "error")
+
+
 # -- splits and shards ---------------------------------------------------------------------
 
 
@@ -554,6 +575,13 @@ def fitted_reconstructor(spark: SparkSession, sf: str) -> DataFrame:
     return scoring.image_errors(rows, model).select("vec_id", *_rounded("max_error", "mean_error"))
 
 
+def full_reconstructor(spark: SparkSession, sf: str) -> DataFrame:
+    """With as many components as pixels every image is rebuilt without error."""
+    rows = silver(spark, sf)
+    model = models.fit_reconstructor(in_split(rows, "train"), NORMAL, SIDE, SIDE, SIDE * SIDE)
+    return scoring.image_errors(rows, model).select("vec_id", *_rounded("max_error", "mean_error"))
+
+
 # -- requests ------------------------------------------------------------------------------
 
 
@@ -670,7 +698,7 @@ QUERIES = {
         foreground_mask, foreground_crop, normalize_mask, resize_stretch, resize_center_crop,
         resize_keep_aspect_pad, silver_transform, shape_check, class_means, error_maps, overlay, saliency,
         classify_topk, classifier_eval, image_error_stats, threshold_calibration, anomaly_scores, predictions,
-        fitted_classifier, fitted_reconstructor, latest_status, status_merge, pending_requests,
+        fitted_classifier, fitted_reconstructor, full_reconstructor, preview_membership, manifest_reconciled, latest_status, status_merge, pending_requests,
         request_settings, request_results, open_requests, served_requests,
     )
 }
