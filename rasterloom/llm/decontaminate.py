@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from rasterloom.llm.texts import packed, sliced, whole_text
 
-ERROR_RATE = 0.08
+ERROR_RATE = 0.1
 # Characters of benchmark items that one pass over the texts looks for.
 BLOCK_CHARS = 4_000_000
 

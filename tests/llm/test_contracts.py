@@ -129,7 +129,7 @@ def test_op5(spark, place):
         for item_id, item in set(items):
             if item and item in text:
                 assert found[doc_id, item_id, 0]
-    assert all(distance <= 0.08 * max(len(t) for i, t in items if i == item_id) for _, item_id, distance in found)
+    assert all(distance <= decontaminate.ERROR_RATE * max(len(t) for i, t in items if i == item_id) for _, item_id, distance in found)
 
 
 def test_edit_matches_are_those_of_the_plain_table():
