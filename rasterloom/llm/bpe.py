@@ -275,8 +275,9 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         .groupBy("rid", "rkey")
         .agg(F.collect_list("one").alias("own"))
     )
-    # one exchange of the packed texts serves the owners and the whole texts
-    packed = squeezed(rows)
+    # one exchange of the packed texts serves the owners and the whole texts: the inner join
+    # asks for keys that are not null, so the outer one has to say the same
+    packed = squeezed(rows).where(F.col("rid").isNotNull() & F.col("rkey").isNotNull())
     encoded = encode_chunks(packed.join(own, ["rid", "rkey"]).select("packed", "own"), vocabulary)
     given = (
         chunks.join(encoded, "digest")
