@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from rasterloom.llm.texts import joined, mixed, packed, sliced, whole_text
+from rasterloom.llm.texts import joined, mixed, sliced, whole_text
 from rasterloom.llm.training import block_sums, sample
 
 # Documents that centroids are made from at most, in equal shares per language.

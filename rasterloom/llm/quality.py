@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from rasterloom.llm.texts import joined, mixed, packed, run_hashes, runs, sliced, whole_text
+from rasterloom.llm.texts import joined, mixed, packed, run_hashes, sliced, whole_text
 from rasterloom.llm.training import block_sums, one_label, sample, sigmoid, temperature
 
 # Labelled documents to learn from at most.
