@@ -17,16 +17,16 @@ says the same as all pairs. This is exact and grows with the classes only.
 Components are found by large-star and small-star steps over class links, each
 step a few joins and partial minima, written to the shared folder.
 
-``near_duplicates`` is exact at two bits. Texts whose sets of five-word shingles
-are alike to 0.8 differ in some tenth of their bits, for which no segment need
-be equal. ``alike_links`` serves those: fingerprints of 128 bits meet in blocks
-that share four minima of one-permutation MinHash, as two such texts do in one
-of 16 bands but for 2 in 10,000 pairs. In a block each fingerprint is held
-against the leaders met so far, chains of the ring first, and becomes a leader
-itself if none is near. Blocks of many classes are cut by a salt, and leaders
-of the parts meet in a second round; so neither a task nor the work grows with
-the square of a group. At 24 of 128 bits pairs alike to 0.8, 0.85 and 0.9 link
-in 87, 97 and 99.9 of 100 cases, unrelated ones never.
+``near_duplicates`` is exact at two bits. ``one_of_each`` joins texts whose sets of
+five-word shingles are alike to 0.8 (Jaccard), for which no segment need be
+equal. Texts of one set are one class. Classes meet in blocks that share four
+minima of one-permutation MinHash, as two texts alike to 0.8 do in one of 16
+bands but for 2 in 10,000 pairs. Blocks only nominate: whole shingle sets are
+brought to them, and a link is one only if the sets themselves are alike to 0.8.
+A set is held against the leaders met so far, and becomes a leader if it is
+alike to none. A block is the work of one task. Crowded blocks are cut by 16 further
+bands of other minima wherever that lessens the pairs in them to a quarter; where
+it does not, their texts are close to each other and follow a few leaders.
 
 A text without words has fingerprint zero and links like any other; null texts
 count as empty. Rows without id belong to a class but never name a component;
@@ -52,9 +52,11 @@ SEGMENTS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 MOST_BITS = 2
 BUCKET = 64
 
-# Alike texts: words of a shingle, 64-bit lanes of a fingerprint, segments of its ring, bits that may differ.
-ALIKE_WORDS, LANES, ALIKE_SEGMENTS, ALIKE_BITS = 5, 2, 8, 24
-# Minima of a band, bands, and classes of a block that one task compares.
+# Alike texts: words of a shingle, 64-bit lanes of a set's digest, and the Jaccard likeness that links, as a fraction.
+ALIKE_WORDS, LANES, ALIKE_OF, ALIKE_IN = 5, 2, 4, 5
+# Bits of 128 that prints of alike texts differ in, mostly. A measure of prints only: no link rests on it.
+ALIKE_BITS = 24
+# Minima of a band, bands, and classes of a block that is not crowded.
 BAND, BANDS, BLOCK = 4, 16, 4096
 
 
@@ -205,82 +207,145 @@ def ring_survivors(counts: np.ndarray, most: int) -> np.ndarray:
     return going.any(axis=1)
 
 
-def within(leaders: np.ndarray, fp: np.ndarray, most: int) -> int | None:
-    """First leader within ``most`` bits: chains of segments are tried before whole fingerprints."""
-    if not len(leaders):
-        return None
-    counts = np.bitwise_count(leaders ^ fp).astype(np.int64)
-    likely = np.flatnonzero(ring_survivors(counts, most))
-    near = likely[counts[likely].sum(axis=1) <= most]
-    return int(near[0]) if len(near) else None
+def sets_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingle hashes, sorted within each text, and the text each is from."""
+    hashes, owner = shingle_hashes(texts, ALIKE_WORDS)
+    order = np.lexsort((hashes, owner))
+    hashes, owner = hashes[order], owner[order]
+    new = np.ones(len(hashes), bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
+    return hashes[new], owner[new]
 
 
-def alike_fingerprints(docs: DataFrame) -> DataFrame:
-    """``rid``, ``rkey``, the fingerprint ``fp`` as bytes, and its ``bands`` (none without words), of every row."""
+def set_digests(hashes: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """A row of lanes per text: sums of its mixed shingle hashes, zero without words."""
+    found = np.zeros((n, LANES), np.uint64)
+    counts = np.bincount(owner, minlength=n)
+    held = np.flatnonzero(counts)
+    if len(held):
+        starts = (np.cumsum(counts) - counts)[held]
+        for lane in range(LANES):
+            found[held, lane] = np.add.reduceat(mixed(hashes + np.uint64(lane + 1)), starts)
+    return found
+
+
+def alike_classes(docs: DataFrame) -> DataFrame:
+    """``rid``, ``rkey``, the digest ``fp`` of the shingle set as bytes, and its ``bands`` and ``finer`` bands (none without words), of every row."""
     sketch = Sketch(ALIKE_WORDS, BAND * BANDS)
 
+    def bands(hashes: np.ndarray, owner: np.ndarray, n: int) -> pa.Array:
+        minima, worded = sketch.table(hashes, owner, n)
+        rows = minima.reshape(n, BANDS, BAND)
+        keys = np.zeros((n, BANDS), np.uint64)
+        for i in range(BAND):
+            keys = mixed(keys + rows[:, :, i])
+        keys += np.arange(BANDS, dtype=np.uint64)
+        return pa.array([own.tolist() if held else [] for own, held in zip(keys.view(np.int64), worded)], pa.list_(pa.int64()))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in sliced(batches):
             n = part.num_rows
-            hashes, owner = shingle_hashes(part.column("text").to_pylist(), ALIKE_WORDS)
-            order = np.lexsort((hashes, owner))
-            hashes, owner = hashes[order], owner[order]
-            new = np.ones(len(hashes), bool)
-            new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
-            hashes, owner = hashes[new], owner[new]
-            lanes = [fingerprint(mixed(hashes + np.uint64(lane)), owner, n) for lane in range(LANES)]
-            values = np.stack(lanes, axis=1)
-            minima, worded = sketch.table(hashes, owner, n)
-            rows = minima.reshape(n, BANDS, BAND)
-            keys = np.zeros((n, BANDS), np.uint64)
-            for i in range(BAND):
-                keys = mixed(keys + rows[:, :, i])
-            keys += np.arange(BANDS, dtype=np.uint64)
-            bands = [own.tolist() if held else [] for own, held in zip(keys.view(np.int64), worded)]
-            made = [pa.array([row.tobytes() for row in values], pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([part.column("rid"), part.column("rkey"), *made], names=["rid", "rkey", "fp", "bands"])
-
-    return keyed(docs).select("rid", "rkey", "text").mapInArrow(run, "rid long, rkey long, fp binary, bands array<long>")
-
-
-def led(blocks: DataFrame) -> DataFrame:
-    """Every ``fp`` of a block (``band``, ``salt``) and the ``leader`` that it follows, itself if it leads."""
-    kind = np.dtype(f"<u{8 * LANES // ALIKE_SEGMENTS}")
+            hashes, owner = sets_of(part.column("text").to_pylist())
+            values = set_digests(hashes, owner, n)
+            digests = pa.array([row.tobytes() for row in values], pa.binary())
+            made = [digests, bands(hashes, owner, n), bands(mixed(hashes + np.uint64(LANES + 1)), owner, n)]
+            yield pa.RecordBatch.from_arrays([part.column("rid"), part.column("rkey"), *made], names=["rid", "rkey", "fp", "bands", "finer"])
+
+    schema = "rid long, rkey long, fp binary, bands array<long>, finer array<long>"
+    return keyed(docs).select("rid", "rkey", "text").mapInArrow(run, schema)
+
+
+def shared(one: np.ndarray, other: np.ndarray) -> int:
+    """Common values of two sorted sets."""
+    few, many = (one, other) if len(one) <= len(other) else (other, one)
+    return int((many[np.minimum(np.searchsorted(many, few), len(many) - 1)] == few).sum())
+
+
+class Block:
+    """Sets that share a band. ``add`` gives the links of a set to those before it."""
+
+    def __init__(self):
+        self.names: list[bytes] = []
+        self.leaders: list[np.ndarray] = []
+        self.sizes = np.zeros(16, np.int64)
+
+    def add(self, name: bytes, own: np.ndarray) -> list[tuple[bytes, bytes]]:
+        found, n = [], len(own)
+        count = len(self.leaders)
+        sizes = self.sizes[:count]
+        # a set within reach of another has no less than this share of its size
+        for i in np.flatnonzero(ALIKE_IN * np.minimum(sizes, n) >= ALIKE_OF * np.maximum(sizes, n)):
+            both = shared(own, self.leaders[i])
+            if ALIKE_IN * both >= ALIKE_OF * (n + len(self.leaders[i]) - both):
+                found.append((name, self.names[i]))
+        if not found:
+            if count == len(self.sizes):
+                self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
+            self.sizes[count] = n
+            self.names.append(name)
+            self.leaders.append(own)
+        return found
+
+
+def linked(blocks: DataFrame) -> DataFrame:
+    """Links ``one``, ``other`` between alike sets (``hashes``, named ``fp``) of a block (``band``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, names, count = None, [], 0
-        leaders = np.zeros((16, ALIKE_SEGMENTS), kind)
+        held, block, last = None, Block(), None
         for batch in batches:
-            following = []
-            for band, salt, fp in zip(*(batch.column(name).to_pylist() for name in ("band", "salt", "fp"))):
-                if (band, salt) != block:
-                    block, names, count = (band, salt), [], 0
-                own = np.frombuffer(fp, kind)
-                i = within(leaders[:count], own, ALIKE_BITS)
-                if i is None:
-                    if count == len(leaders):
-                        leaders = np.concatenate([leaders, np.zeros_like(leaders)])
-                    leaders[count] = own
-                    names.append(fp)
-                    i, count = count, count + 1
-                following.append(names[i])
-            yield pa.RecordBatch.from_arrays([batch.column("band"), batch.column("fp"), pa.array(following, pa.binary())], names=["band", "fp", "leader"])
-
-    placed = blocks.select("band", "salt", "fp").repartition(F.col("band"), F.col("salt")).sortWithinPartitions("band", "salt", "fp")
-    return placed.mapInArrow(run, "band long, fp binary, leader binary")
-
-
-def alike_links(classes: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Links ``u`` < ``v`` between fingerprints of alike texts; ``classes`` has distinct ``fp`` and its ``bands``."""
+            found: list[tuple[bytes, bytes]] = []
+            names, hashes = batch.column("fp"), batch.column("hashes")
+            for i, band in enumerate(batch.column("band").to_pylist()):
+                if band != held:
+                    held, block, last = band, Block(), None
+                if (name := names[i].as_py()) != last:
+                    last = name
+                    found += block.add(name, np.frombuffer(hashes[i].as_py(), np.uint64))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(side, pa.binary()) for side in zip(*found)], names=["one", "other"])
+
+    placed = blocks.select("band", "fp", "hashes").repartition(F.col("band")).sortWithinPartitions("band", "fp")
+    return placed.mapInArrow(run, "one binary, other binary")
+
+
+def with_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``fp``, ``bands`` and the shingle set ``hashes`` of the ``wanted`` texts, which have ``rid`` and ``rkey``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in sliced(batches):
+            n = part.num_rows
+            hashes, owner = sets_of(part.column("text").to_pylist())
+            sets = np.split(hashes, np.cumsum(np.bincount(owner, minlength=n))[:-1])
+            made = pa.array([own.tobytes() for own in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column("fp"), part.column("bands"), made], names=["fp", "bands", "hashes"])
+
+    texts = keyed(docs).select("rid", "rkey", "text").join(wanted, ["rid", "rkey"])
+    return texts.select("fp", "bands", "text").mapInArrow(run, "fp binary, bands array<long>, hashes binary")
+
+
+def shared_bands(classes: DataFrame, block: int = BLOCK) -> DataFrame:
+    """``fp`` and ``band`` of the blocks of two classes or more; ``classes`` has distinct ``fp``, its ``bands`` and ``finer`` bands."""
     entries = classes.select("fp", F.explode("bands").alias("band"))
-    sizes = entries.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
-    met = entries.join(sizes, "band")
-    parts = F.ceil(F.col("size") / block)
-    first = cut_lineage(led(met.withColumn("salt", F.pmod(F.xxhash64("fp"), parts))))
-    again = first.where(F.col("fp") == F.col("leader")).join(sizes.where(F.col("size") > block).select("band"), "band", "left_semi")
-    second = led(again.select("band", F.lit(0).cast("long").alias("salt"), "fp"))
-    links = first.unionByName(second).where(F.col("fp") != F.col("leader"))
-    return links.select(F.least("fp", "leader").alias("u"), F.greatest("fp", "leader").alias("v")).distinct()
+    sizes = cut_lineage(entries.groupBy("band").agg(F.count("*").alias("size")).where("size > 1"))
+    crowded = sizes.where(F.col("size") > block)
+    if crowded.isEmpty():
+        return entries.join(sizes.select("band"), "band").select("fp", "band")
+    parts = entries.join(crowded.select("band"), "band").join(classes.select("fp", F.explode("finer").alias("finer")), "fp")
+    parts = parts.select("fp", F.col("band").alias("whole"), F.xxhash64("band", "finer").alias("band"))
+    part_sizes = cut_lineage(parts.groupBy("whole", "band").agg(F.count("*").alias("size")).where("size > 1"))
+    pairs = part_sizes.groupBy("whole").agg(F.sum(F.col("size").cast("double") * F.col("size")).alias("pairs"))
+    closer = pairs.join(crowded.withColumnRenamed("band", "whole"), "whole").where(F.col("pairs") * 4 > F.col("size").cast("double") * F.col("size")).select("whole")
+    thinned = part_sizes.join(closer, "whole", "left_anti").select("whole", "band")
+    kept = sizes.where(F.col("size") <= block).select("band").unionByName(closer.select(F.col("whole").alias("band")))
+    return entries.join(kept, "band").select("fp", "band").unionByName(parts.join(thinned, ["whole", "band"]).select("fp", "band"))
+
+
+def alike_links(docs: DataFrame, classes: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Links ``u`` < ``v`` between digests of alike texts; ``classes`` has distinct ``fp``, its bands and its ``first`` row."""
+    met = shared_bands(classes, block).groupBy("fp").agg(F.collect_list("band").alias("bands"))
+    wanted = classes.select("fp", "first.rid", "first.rkey").join(met, "fp")
+    blocks = with_sets(docs, wanted).select(F.explode("bands").alias("band"), "fp", "hashes")
+    return linked(blocks).select(F.least("one", "other").alias("u"), F.greatest("one", "other").alias("v")).distinct()
 
 
 def one_of_each(docs: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -288,10 +353,10 @@ def one_of_each(docs: DataFrame, block: int = BLOCK) -> DataFrame:
 
     Texts without words are one group. Rows that repeat an id and a text are one.
     """
-    rows = cut_lineage(alike_fingerprints(docs))
-    # texts of one fingerprint are one class; their bands may differ, and any will do
-    classes = rows.groupBy("fp").agg(F.min(F.struct("rid", "rkey")).alias("first"), F.min("bands").alias("bands"))
-    found = components(alike_links(classes.select("fp", "bands"), block))
+    rows = cut_lineage(alike_classes(docs))
+    first = F.min(F.struct("rid", "rkey")).alias("first")
+    classes = rows.groupBy("fp").agg(first, F.min("bands").alias("bands"), F.min("finer").alias("finer"))
+    found = components(alike_links(docs, classes, block))
     rooted = classes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.rid", "first.rkey")
     return packed(docs).select("rid", "rkey", "row").join(kept, ["rid", "rkey"]).dropDuplicates(["rid", "rkey"]).select("row.*")

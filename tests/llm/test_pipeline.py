@@ -123,3 +123,25 @@ def test_bands_of_alike_texts_meet():
         rows = values.reshape(2, simhash.BANDS, simhash.BAND)
         met += (rows[0] == rows[1]).all(axis=1).any()
     assert met >= 98
+
+
+def likeness(a, b):
+    return len(a & b) / len(a | b)
+
+
+def test_only_texts_alike_to_the_contract_are_one(spark):
+    """Pairs that share a long passage, alike to 0.6 to 0.78, stay; their prints are often within the bits."""
+    rng = np.random.default_rng(11)
+    words = np.array([f"w{i}" for i in range(3000)])
+    docs, within = {}, 0
+    for pair in range(40):
+        base = rng.choice(words, 400)
+        other = base.copy()
+        n = 10 + pair % 8
+        other[rng.choice(np.arange(5, 395, 6), n, replace=False)] = [f"x{rng.integers(1 << 30)}" for _ in range(n)]
+        docs |= {2 * pair: " ".join(base), 2 * pair + 1: " ".join(other)}
+        assert 0.55 < likeness(shingle_set(docs[2 * pair]), shingle_set(docs[2 * pair + 1])) < 0.8
+        within += (wide_print(docs[2 * pair]) ^ wide_print(docs[2 * pair + 1])).bit_count() <= simhash.ALIKE_BITS
+    assert within > 5
+    table = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    assert {row["doc_id"] for row in simhash.one_of_each(table).collect()} == set(docs)
