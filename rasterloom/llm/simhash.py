@@ -24,7 +24,8 @@ minima of one-permutation MinHash, as two texts alike to 0.8 do in one of 16
 bands but for 2 in 10,000 pairs. Blocks only nominate: whole shingle sets are
 brought to them, and a link is one only if the sets themselves are alike to 0.8.
 A set is held against the leaders met so far, and becomes a leader if it is
-alike to none. A block is the work of one task. Crowded blocks are cut by 16 further
+alike to none; followers of leaders nearby are tried as well, so that a block
+connects what all its pairs would. A block is the work of one task. Crowded blocks are cut by 16 further
 bands of other minima wherever that lessens the pairs in them to a quarter; where
 it does not, their texts are close to each other and follow a few leaders.
 
@@ -262,30 +263,80 @@ def shared(one: np.ndarray, other: np.ndarray) -> int:
 
 
 class Block:
-    """Sets that share a band. ``add`` gives the links of a set to those before it."""
+    """Sets that share a band. ``add`` gives links of a set to those before it, enough to connect all that are alike.
+
+    One minus the likeness is a distance, at most ``APART`` between alike sets.
+    A set alike to a follower of a leader is within twice that of the leader,
+    so only followers of such leaders are tried, and of them only those whose
+    own distance to the leader allows it. Sets that are connected already are
+    not compared again.
+    """
+
+    APART = 1 - ALIKE_OF / ALIKE_IN
 
     def __init__(self):
         self.names: list[bytes] = []
-        self.leaders: list[np.ndarray] = []
+        self.sets: list[np.ndarray] = []
+        self.root: list[int] = []
+        # numbers of the leaders, sizes of their sets, and who follows each at what distance
+        self.leaders: list[int] = []
         self.sizes = np.zeros(16, np.int64)
+        self.followers: list[list[tuple[int, float]]] = []
+
+    def top(self, i: int) -> int:
+        while self.root[i] != i:
+            self.root[i] = i = self.root[self.root[i]]
+        return i
 
     def add(self, name: bytes, own: np.ndarray) -> list[tuple[bytes, bytes]]:
-        found, n = [], len(own)
-        count = len(self.leaders)
-        sizes = self.sizes[:count]
-        # a set within reach of another has no less than this share of its size
-        for i in np.flatnonzero(ALIKE_IN * np.minimum(sizes, n) >= ALIKE_OF * np.maximum(sizes, n)):
-            both = shared(own, self.leaders[i])
-            if ALIKE_IN * both >= ALIKE_OF * (n + len(self.leaders[i]) - both):
-                found.append((name, self.names[i]))
-        if not found:
-            if count == len(self.sizes):
+        found: list[tuple[bytes, bytes]] = []
+        me, n = len(self.sets), len(own)
+        self.names.append(name)
+        self.sets.append(own)
+        self.root.append(me)
+        led, near = False, []
+        sizes = self.sizes[: len(self.leaders)]
+        # sets within twice the distance have sizes in this proportion at least
+        for at in np.flatnonzero(np.minimum(sizes, n) >= (1 - 2 * self.APART - 1e-9) * np.maximum(sizes, n)).tolist():
+            leader = self.leaders[at]
+            both, all_ = self._common(me, leader)
+            far = 1 - both / all_
+            if ALIKE_IN * both >= ALIKE_OF * all_:
+                if not led:
+                    self.followers[at].append((me, far))
+                    led = True
+                if self._join(me, leader):
+                    found.append((name, self.names[leader]))
+            elif far <= 2 * self.APART + 1e-9:
+                near.append((at, far))
+        for at, far in near:
+            if self.top(self.leaders[at]) != self.top(me):
+                for other, its in self.followers[at]:
+                    if its >= far - self.APART - 1e-9 and self._alike(me, other):
+                        self._join(me, other)
+                        found.append((name, self.names[other]))
+                        break
+        if not led:
+            if len(self.leaders) == len(self.sizes):
                 self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
-            self.sizes[count] = n
-            self.names.append(name)
-            self.leaders.append(own)
+            self.sizes[len(self.leaders)] = n
+            self.leaders.append(me)
+            self.followers.append([])
         return found
 
+    def _common(self, one: int, other: int) -> tuple[int, int]:
+        both = shared(self.sets[one], self.sets[other])
+        return both, len(self.sets[one]) + len(self.sets[other]) - both
+
+    def _alike(self, one: int, other: int) -> bool:
+        both, all_ = self._common(one, other)
+        return ALIKE_IN * both >= ALIKE_OF * all_
+
+    def _join(self, one: int, other: int) -> bool:
+        a, b = self.top(one), self.top(other)
+        self.root[max(a, b)] = min(a, b)
+        return a != b
+
 
 def linked(blocks: DataFrame) -> DataFrame:
     """Links ``one``, ``other`` between alike sets (``hashes``, named ``fp``) of a block (``band``)."""

@@ -145,3 +145,67 @@ def test_only_texts_alike_to_the_contract_are_one(spark):
     assert within > 5
     table = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
     assert {row["doc_id"] for row in simhash.one_of_each(table).collect()} == set(docs)
+
+
+def plain_groups(sets):
+    """Least member of each set's component over all pairs alike to 0.8, by name."""
+    root = {i: i for i in sets}
+
+    def top(i):
+        return i if root[i] == i else top(root[i])
+
+    for a in sets:
+        for b in sets:
+            if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                root[max(top(a), top(b))] = min(top(a), top(b))
+    return {i: top(i) for i in sets}
+
+
+def edited(rng, base, share):
+    """A copy of the words, alike to about ``share``."""
+    other = list(base)
+    n = int((1 - share) / (1 + share) * (len(base) - 4) / 5)
+    for at in rng.choice(np.arange(5, len(base) - 5, 6), n, replace=False):
+        other[at] = f"x{rng.integers(1 << 30)}"
+    return other
+
+
+def test_edited_groups_leave_what_exact_jaccard_leaves(spark):
+    """Edits of one text, each alike to it to 0.82, are one; no condition on bits."""
+    rng = np.random.default_rng(13)
+    words = [f"w{i}" for i in range(3000)]
+    docs = {}
+    for _ in range(6):
+        base = rng.choice(words, 400).tolist()
+        for text in [base, *(edited(rng, base, 0.81) for _ in range(20))]:
+            docs[len(docs)] = " ".join(text)
+    expected = set(plain_groups({i: shingle_set(text) for i, text in docs.items()}).values())
+    # prints of some of these pairs are too far apart for the bits
+    prints = {i: wide_print(text) for i, text in docs.items()}
+    assert any((prints[21 * g] ^ prints[21 * g + i]).bit_count() > simhash.ALIKE_BITS for g in range(6) for i in range(1, 21))
+    assert len(expected) == 6
+    table = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(4)
+    for block in (8, 4096):
+        assert {row["doc_id"] for row in simhash.one_of_each(table, block).collect()} == expected
+
+
+def test_a_block_connects_what_all_pairs_connect():
+    """Stars and chains in any order: a set alike to a follower only is linked too."""
+    rng = np.random.default_rng(17)
+    for trial in range(150):
+        sets, base = {}, rng.integers(0, 1 << 40, 100)
+        for _ in range(12):
+            # a step from any set so far, sometimes too far to be alike
+            base = sets[rng.integers(len(sets))] if sets else set(base.tolist())
+            kept = rng.permutation(sorted(base)).tolist()[int(rng.integers(3, 14)) :]
+            sets[len(sets)] = {*kept, *rng.integers(0, 1 << 40, 100 - len(kept)).tolist()}
+        block, root = simhash.Block(), {i: i for i in sets}
+
+        def top(i):
+            return i if root[i] == i else top(root[i])
+
+        for i in rng.permutation(len(sets)).tolist():
+            for one, other in block.add(bytes([i]), np.array(sorted(sets[i]), np.uint64)):
+                a, b = top(one[0]), top(other[0])
+                root[max(a, b)] = min(a, b)
+        assert {i: top(i) for i in sets} == plain_groups(sets)
