@@ -217,3 +217,19 @@ def test_pipeline_stages_take_effect(spark, odd, bare, sf, tmp_path):
         assert ended.count() == docs.count()
         whole = corpus_pipeline.run(spark, place).select("doc_id", "ids_sha256")
         assert sorted(whole.collect(), key=str) == sorted(ended.select("doc_id", "ids_sha256").collect(), key=str)
+
+
+def test_a_rare_toxic_word_counts_in_a_large_sample():
+    """Three of 3,000 texts hold the word, all toxic; a bar of one text in 600 would have passed it over."""
+    rng = np.random.default_rng(19)
+    common = toxicity.table_row(toxicity.words([" ".join(f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(200))])[0])
+    bad, rare = toxicity.table_row(toxicity.words(["horrid ghastly"])[0])
+    labels = np.array([i % 4 == 0 for i in range(3000)], float)
+    rows = [np.append(rng.choice(common, 20), np.full(int(label), bad)) for label in labels]
+    for i in (0, 4, 8):
+        rows[i] = np.append(rows[i][:-1], rare)
+    net = toxicity.train(rows, labels)
+    clean = [text for text, label in zip(rows, labels) if not label][:50]
+    logit = lambda text: net.logits(*toxicity.layout(text, np.zeros(len(text), np.int64), 1))[0]
+    assert np.abs(net.embedding[rare]).max() > 0
+    assert np.mean([logit(np.append(text, rare)) - logit(text) for text in clean]) > 0.5
