@@ -233,3 +233,22 @@ def test_a_rare_toxic_word_counts_in_a_large_sample():
     logit = lambda text: net.logits(*toxicity.layout(text, np.zeros(len(text), np.int64), 1))[0]
     assert np.abs(net.embedding[rare]).max() > 0
     assert np.mean([logit(np.append(text, rare)) - logit(text) for text in clean]) > 0.5
+
+
+def test_a_sample_is_bounded_by_words(spark, monkeypatch):
+    rows = [(i, bytes(4 * (400 if i % 4 else 100)), float(i % 4 == 0), 2.0) for i in range(2000)]
+    sampled = frame(spark, rows, "doc_id long, words binary, label double, weight double")
+    assert toxicity.within_words(sampled, 650_000).count() == 2000
+    got = toxicity.within_words(sampled, 200_000).collect()
+    by = {label: [row for row in got if row["label"] == label] for label in (0.0, 1.0)}
+    assert sum(len(row["words"]) for row in got) / 4 <= 1.1 * 200_000 and len(by[1.0]) == 500
+    assert all(len(row["words"]) in (400, 1600) for row in got)
+    # weights still add up to the rows that the labels stand for
+    assert abs(sum(row["weight"] for row in got) - 4000) < 400
+    # what the driver learns from is so bounded
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, labels: seen.append(sum(map(len, texts))) or toxicity.Network.start(*np.ones((3, toxicity.ROWS), np.float32)))
+    docs = frame(spark, [(i, "word " * 300) for i in range(400)])
+    marks = frame(spark, [(i, i % 2) for i in range(400)], "doc_id long, label int")
+    toxicity.fit(docs, marks, F.lit(True), sample_words=30_000)
+    assert 0 < seen[0] <= 33_000
