@@ -209,3 +209,18 @@ def test_a_block_connects_what_all_pairs_connect():
                 a, b = top(one[0]), top(other[0])
                 root[max(a, b)] = min(a, b)
         assert {i: top(i) for i in sets} == plain_groups(sets)
+
+
+def test_pairs_beyond_the_bits_are_one(spark):
+    """Pairs alike to 0.8 or more whose prints differ in more bits than ALIKE_BITS."""
+    rng = np.random.default_rng(23)
+    words = [f"w{i}" for i in range(3000)]
+    docs = {}
+    while len(docs) < 20:
+        base = rng.choice(words, 400).tolist()
+        pair = " ".join(base), " ".join(edited(rng, base, 0.81))
+        if (wide_print(pair[0]) ^ wide_print(pair[1])).bit_count() > simhash.ALIKE_BITS:
+            assert likeness(*map(shingle_set, pair)) >= 0.8
+            docs |= {len(docs) + i: text for i, text in enumerate(pair)}
+    table = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    assert {row["doc_id"] for row in simhash.one_of_each(table).collect()} == set(range(0, 20, 2))
