@@ -252,3 +252,15 @@ def test_a_sample_is_bounded_by_words(spark, monkeypatch):
     marks = frame(spark, [(i, i % 2) for i in range(400)], "doc_id long, label int")
     toxicity.fit(docs, marks, F.lit(True), sample_words=30_000)
     assert 0 < seen[0] <= 33_000
+
+
+def test_crowded_blocks_are_cut_by_finer_bands(spark):
+    """Band 1 has 100 classes in ten groups by finer band, band 2 has 60 close ones, band 3 is not crowded."""
+    rows = [(bytes([i]), [1], [i // 10]) for i in range(100)]
+    rows += [(bytes([100 + i]), [2], [50, 51]) for i in range(60)] + [(bytes([200 + i]), [3], [60 + i]) for i in range(5)]
+    classes = frame(spark, rows, "fp binary, bands array<long>, finer array<long>")
+    blocks = {}
+    for row in simhash.shared_bands(classes, 50).collect():
+        blocks.setdefault(row["band"], set()).add(bytes(row["fp"])[0])
+    assert sorted(map(len, blocks.values())) == [5] + [10] * 10 + [60]
+    assert blocks[2] == set(range(100, 160)) and blocks[3] == set(range(200, 205))
