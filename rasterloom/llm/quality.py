@@ -4,15 +4,17 @@ A token is a run of letters, of digits or of other signs. It has a random index
 vector, fixed by its hash: a few entries of +1 or -1. A token's word vector is
 the sum, over the whole corpus, of the index vectors of its neighbours within
 two places, of their shapes (case, digits or sign), and of a mark where the
-neighbour is the same token. Tokens share a table of fixed size by hash, so the
-table does not grow with the vocabulary. A document is the mean and the spread
+neighbour is the same token. Tokens share ``ROWS`` vectors by hash, so the table
+does not grow with the vocabulary; with a larger vocabulary words share one. A document is the mean and the spread
 of its tokens' vectors and its length.
 
 A two-layer network in numpy learns the label from a bounded sample, and a
 temperature fitted on held-back rows calibrates its probabilities.
 
 Null and empty texts pool to zeros and are scored like any other. Without
-labelled rows of both kinds every score is 0.5.
+labelled rows of both kinds every score is 0.5. Where labels of one id disagree
+the larger one counts; every row of a repeated id is learned from and scored; a
+score of exactly 0.5 is predicted 1; further columns pass through in ``row``.
 """
 
 from __future__ import annotations
@@ -24,12 +26,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from rasterloom.llm.texts import joined, mixed, packed, run_hashes, sliced, whole_text
+from rasterloom.llm.texts import grouped, joined, mixed, pieces, run_hashes, sliced, struct_of, text_of, whole_text
 from rasterloom.llm.training import block_sums, one_label, sample, sigmoid, temperature
 
 # Labelled documents to learn from at most.
 SAMPLE_ROWS = 12_000
 ROWS, WIDTH, REACH, ENTRIES = 1 << 14, 64, 2, 2
+# Tokens whose vectors are gathered at once.
+TOKENS = 1 << 12
 HIDDEN, EPOCHS, BATCH, RATE, DECAY = 32, 60, 128, 0.003, 1e-4
 
 _KIND = np.full(256, 3, np.uint8)  # other signs
@@ -41,9 +45,9 @@ _UPPER[65:91] = 1
 SAME = np.array([0x5A3E], np.uint64)
 
 
-def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash and shape of every token and the text it is from."""
-    data, begins = joined([text.encode() for text in texts])
+    data, begins = joined(texts)
     kind = _KIND[data]
     edges = np.flatnonzero(np.diff(kind, prepend=0, append=0))
     starts, ends = edges[:-1], edges[1:]
@@ -71,7 +75,7 @@ def entries(units: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 def add_contexts(texts: list[str], table: np.ndarray) -> None:
     """Add the index vectors of all neighbours of every token to the token's row of the flat table."""
-    hashes, shapes, owner = tokens(texts)
+    hashes, shapes, owner = tokens([text.encode() for text in texts])
     base = table_row(hashes) * WIDTH
     same = mixed(SAME)
     for step in range(1, REACH + 1):
@@ -101,18 +105,29 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
 
 
 def pooled(texts: list[str], vectors: np.ndarray) -> np.ndarray:
-    """Mean and spread of the word vectors and the length of every text."""
-    hashes, _, owner = tokens(texts)
-    counts = np.bincount(owner, minlength=len(texts))
+    """Mean and spread of the word vectors and the length of every text.
+
+    Vectors are gathered for a few thousand tokens at a time, and long texts
+    are tokenised in pieces cut at blanks, so neither needs memory for all.
+    """
+    sums = np.zeros((len(texts), 2 * WIDTH))
+    counts = np.zeros(len(texts), np.int64)
+    encoded = [piece for i, text in enumerate(texts) for piece in pieces(text.encode(), i)]
+    for some in grouped(encoded):
+        hashes, _, part = tokens([piece for _, piece in some])
+        owner = np.array([i for i, _ in some])[part]
+        counts += np.bincount(owner, minlength=len(texts))
+        rows = table_row(hashes)
+        for at in range(0, len(rows), TOKENS):
+            each, own = vectors[rows[at : at + TOKENS]], owner[at : at + TOKENS]
+            firsts = np.flatnonzero(np.diff(own, prepend=-1))
+            sums[own[firsts], :WIDTH] += np.add.reduceat(each, firsts, axis=0)
+            np.multiply(each, each, out=each)
+            sums[own[firsts], WIDTH:] += np.add.reduceat(each, firsts, axis=0)
     found = np.zeros((len(texts), 2 * WIDTH + 1), np.float32)
-    held = np.flatnonzero(counts)
-    if len(held):
-        each = vectors[table_row(hashes)]
-        starts = (np.cumsum(counts) - counts)[held]
-        mean = np.add.reduceat(each, starts, axis=0) / counts[held, None]
-        square = np.add.reduceat(each * each, starts, axis=0) / counts[held, None]
-        found[held, :WIDTH] = mean
-        found[held, WIDTH:-1] = np.sqrt(np.maximum(square - mean * mean, 0))
+    sums /= np.maximum(counts, 1)[:, None]
+    found[:, :WIDTH] = sums[:, :WIDTH]
+    found[:, WIDTH:-1] = np.sqrt(np.maximum(sums[:, WIDTH:] - sums[:, :WIDTH] ** 2, 0))
     found[:, -1] = np.log1p(counts)
     return found
 
@@ -192,12 +207,12 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from: Column, sample_rows: int
 
 def score(docs: DataFrame, vectors: np.ndarray, net: Network | None) -> DataFrame:
     """``row`` (all columns of the input) and ``score`` of every document. No shuffle."""
-    rows = packed(docs).select("row", "text")
+    rows = struct_of(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in sliced(batches):
-            texts = part.column("text").to_pylist()
+        for part in sliced(batches, text_of):
+            texts = text_of(part).to_pylist()
             made = net.probabilities(pooled(texts, vectors)) if net else np.full(len(texts), 0.5)
             yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(made.astype(float), pa.float64())], names=["row", "score"])
 
-    return rows.mapInArrow(run, T.StructType(rows.select("row").schema.fields).add("score", "double"))
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields]).add("score", "double"))

@@ -26,7 +26,7 @@ def op1_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op2_quality(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents")
+    docs = table(spark, sf, "documents").select("doc_id", "text")
     marks = table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
     scored = quality.score(docs, *quality.fit(docs, marks, ~held_out(1, 3)))
     return scored.select(F.col("row.doc_id").alias("doc_id"), "score").select("doc_id", held_out(1, 3).alias("held_out"), "score", predicted())
@@ -61,7 +61,7 @@ def vocabulary_path() -> str:
 
 
 def op7_toxicity(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents")
+    docs = table(spark, sf, "documents").select("doc_id", "text")
     marks = table(spark, sf, "labels").select("doc_id", F.col("toxic").alias("label"))
     scored = toxicity.score(docs, toxicity.fit(docs, marks, ~held_out(0, 5)))
     return scored.select(F.col("row.doc_id").alias("doc_id"), "score").select("doc_id", held_out(0, 5).alias("held_out"), "score", predicted())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +21,7 @@ MIX_1, MIX_2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
 # The six ASCII blanks, space and U+0009 to U+000D.
 BLANKS = b" \t\n\v\f\r"
+_BLANK_BYTES = [BLANKS[i : i + 1] for i in range(len(BLANKS))]
 
 
 def whole_text() -> Column:
@@ -54,16 +55,27 @@ def packed(docs: DataFrame) -> DataFrame:
     return keyed(docs, F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"))
 
 
+def struct_of(docs: DataFrame) -> DataFrame:
+    """All columns of the input as one struct ``row``; ``text_of`` finds its text in a batch."""
+    return docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"))
+
+
+def text_of(batch: pa.RecordBatch) -> pa.Array:
+    """The texts of a batch of ``struct_of``, null as empty."""
+    return batch.column("row").field("text").fill_null("")
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def sliced(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The rows in batches of about ``limit`` bytes of one column, one row at least."""
+def sliced(batches: Iterator[pa.RecordBatch], column: str | Callable[[pa.RecordBatch], pa.Array] = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of about ``limit`` bytes of one column (a name, or what finds it), one row at least."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        texts = batch.column(column) if isinstance(column, str) else column(batch)
+        sizes = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
         ends = np.cumsum(sizes + 1)
         at = 0
         while at < batch.num_rows:
@@ -101,7 +113,22 @@ POWERS = Powers()
 
 
 def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of every byte run ``data[start:end]``; equal runs have equal hashes."""
+    """Hash of every byte run ``data[start:end]``; equal runs have equal hashes.
+
+    Runs are in order of start. Long buffers are worked on in blocks of runs,
+    so that memory beside the buffer is bounded.
+    """
+    if len(data) <= 2 * SLICE_BYTES or len(starts) < 2:
+        return _block_hashes(data, starts, ends)
+    cuts = np.flatnonzero(np.diff(starts // SLICE_BYTES)) + 1
+    found = []
+    for own_starts, own_ends in zip(np.split(starts, cuts), np.split(ends, cuts)):
+        low = int(own_starts[0])
+        found.append(_block_hashes(data[low : int(own_ends.max())], own_starts - low, own_ends - low))
+    return np.concatenate(found)
+
+
+def _block_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     up, down = POWERS.to(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
@@ -114,6 +141,34 @@ def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"\n".join(texts) + b"\n", np.uint8), np.cumsum(lengths) - lengths
 
 
+def pieces(text: bytes, owner: int, limit: int = SLICE_BYTES) -> Iterator[tuple[int, bytes]]:
+    """``owner`` with each piece of a text, cut at ASCII blanks about every ``limit`` bytes; one piece if it is short."""
+    at = 0
+    while len(text) - at > limit:
+        blank = max(text.rfind(each, at, at + limit) for each in _BLANK_BYTES)
+        if blank < 0:
+            later = [place for each in _BLANK_BYTES if (place := text.find(each, at + limit)) >= 0]
+            if not later:
+                break
+            blank = min(later)
+        yield owner, text[at : blank + 1]
+        at = blank + 1
+    yield owner, text[at:]
+
+
+def grouped(parts: Iterable[tuple[int, bytes]], limit: int = SLICE_BYTES) -> Iterator[list[tuple[int, bytes]]]:
+    """The pieces in lists of about ``limit`` bytes."""
+    held, size = [], 0
+    for part in parts:
+        if held and size + len(part[1]) > limit:
+            yield held
+            held, size = [], 0
+        held.append(part)
+        size += len(part[1])
+    if held:
+        yield held
+
+
 def runs(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs of true values."""
     edges = np.flatnonzero(np.diff(inside.astype(np.int8), prepend=0, append=0))

@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from rasterloom.llm import bpe, decontaminate, fingerprints, lines, queries, secrets, simhash, texts, toxicity, warc
+from rasterloom.llm import bpe, decontaminate, fingerprints, lines, quality, queries, secrets, simhash, texts, toxicity, warc
+from rasterloom.llm import texts as texts_module
 from tests.llm.test_contracts import linked
 
 
@@ -219,6 +220,63 @@ def test_pipeline_stages_take_effect(spark, odd, bare, sf, tmp_path):
         assert sorted(whole.collect(), key=str) == sorted(ended.select("doc_id", "ids_sha256").collect(), key=str)
 
 
+def plain_logit(net, text):
+    """The forward pass in plain loops over one text's own words."""
+    rows = [int(row) for row in toxicity.table_row(toxicity.words([text])[0])] or [0]
+    logit = net.constant
+    for i, weights in enumerate(net.filters):
+        for f in range(toxicity.FILTERS):
+            best = max(
+                sum(float(net.embedding[rows[at + j]] @ weight[:, f]) for j, weight in enumerate(weights) if at + j < len(rows)) for at in range(len(rows))
+            )
+            k = i * toxicity.FILTERS + f
+            logit += max(best + float(net.bias[k]), 0) * float(net.out[k])
+    return logit
+
+
+def test_toxicity_scores_do_not_depend_on_neighbours(monkeypatch):
+    rng = np.random.default_rng(4)
+    net = toxicity.Network.start(*np.ones((3, toxicity.ROWS), np.float32))
+    net.bias[:] = rng.normal(0, 0.3, len(net.bias))
+    vocabulary = [f"w{chr(97 + i)}" for i in range(26)]
+    texts = ["", " ", "a", "one two", *(" ".join(rng.choice(vocabulary, n)) for n in rng.integers(1, 60, 40)), "", "last"]
+    together = net.scores(texts)
+    assert np.allclose(together, [net.scores([text])[0] for text in texts], atol=1e-5)
+    assert np.allclose(together, net.scores(texts[::-1])[::-1], atol=1e-5)
+    assert np.allclose(together, toxicity.sigmoid(np.array([plain_logit(net, text) for text in texts])), atol=1e-5)
+    # blocks of few places cut texts anywhere
+    monkeypatch.setattr(toxicity, "PLACES", 7)
+    assert np.allclose(together, net.scores(texts), atol=1e-5)
+
+
+def plain_pooled(text, vectors):
+    rows = [vectors[i] for i in quality.table_row(quality.tokens([text.encode()])[0])]
+    mean = [sum(float(v[k]) for v in rows) / max(1, len(rows)) for k in range(quality.WIDTH)]
+    square = [sum(float(v[k]) ** 2 for v in rows) / max(1, len(rows)) for k in range(quality.WIDTH)]
+    return [*mean, *(max(0.0, s - m * m) ** 0.5 for s, m in zip(square, mean)), np.log1p(len(rows))]
+
+
+def test_quality_pools_like_plain_loops(monkeypatch):
+    rng = np.random.default_rng(6)
+    vectors = rng.normal(0, 1, (quality.ROWS, quality.WIDTH)).astype(np.float32)
+    texts = ["", "a", "One, two 3!", *(" ".join(f"w{i}" for i in rng.integers(0, 50, n)) for n in rng.integers(1, 40, 20)), "x" * 300, "", "end"]
+    expected = np.array([plain_pooled(text, vectors) for text in texts])
+    assert np.allclose(quality.pooled(texts, vectors), expected, atol=2e-3)
+    monkeypatch.setattr(quality, "TOKENS", 5)
+    monkeypatch.setattr(quality, "pieces", lambda text, owner: texts_module.pieces(text, owner, 16))
+    monkeypatch.setattr(quality, "grouped", lambda parts: texts_module.grouped(parts, 40))
+    assert np.allclose(quality.pooled(texts, vectors), expected, atol=2e-3)
+
+
+def test_run_hashes_in_blocks(monkeypatch):
+    data = np.random.default_rng(2).integers(0, 256, 5000).astype(np.uint8)
+    starts = np.sort(np.random.default_rng(3).integers(0, 4900, 400))
+    ends = starts + np.random.default_rng(5).integers(0, 100, 400)
+    whole = texts_module.run_hashes(data, starts, ends)
+    monkeypatch.setattr(texts_module, "SLICE_BYTES", 64)
+    assert np.array_equal(whole, texts_module.run_hashes(data, starts, ends))
+
+
 def test_a_rare_toxic_word_counts_in_a_large_sample():
     """Three of 3,000 texts hold the word, all toxic; a bar of one text in 600 would have passed it over."""
     rng = np.random.default_rng(19)
