@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from rasterloom.llm import bpe, decontaminate, fingerprints, language, lines, quality, secrets, simhash, toxicity, warc
+from rasterloom.llm import bpe, decontaminate, fingerprints, language, lines, periodic, quality, secrets, simhash, toxicity, warc
 from rasterloom.llm.training import id_remainder
 
 
@@ -82,6 +84,34 @@ def op10_language(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", held_out(1, 3).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def planted_repeats(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """Every tenth text by crc32 of the id gets a repeating tail."""
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 or not words:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+def op13_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    found = periodic.detect(table(spark, sf, "documents"), planted_repeats)
+    best = F.array_max(F.transform("runs", lambda run: F.struct(run["length"].alias("length"), (-run["start"]).alias("start"), (-run["period"]).alias("period"))))
+    listed = F.concat_ws("", F.transform("runs", lambda run: F.concat(run["start"], F.lit(","), run["length"], F.lit(","), run["period"], F.lit("\n"))))
+    columns = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    return columns.select(
+        "doc_id",
+        "n_runs",
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.expr("1000 * best.length DIV -best.period").alias("exponent_milli"),
+        "runs_sha256",
+        "collapsed_sha256",
+    )
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf)
 
@@ -90,7 +120,7 @@ QUERIES = {
     query.__name__: query
     for query in (
         op1_fingerprints, op2_quality, op3_secrets, op4_line_dedup, op5_decontamination, op6_bpe, op7_toxicity, op8_warc, op9_simhash,
-        op10_language, pipeline,
+        op10_language, op13_periodic_runs, pipeline,
     )
 }
 
