@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rasterloom.llm.texts import mixed, sliced, whole_text
+from rasterloom.llm.texts import mixed, sliced, spread, whole_text
 
 MIN_LENGTH = 12
 # Candidate pairs that are looked at in one pass.
@@ -39,12 +39,6 @@ RUN = "array<struct<start:long,length:long,period:long>>"
 Prepare = Callable[[int | None, list[bytes]], list[bytes]]
 
 
-def spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The numbers from each start on, ``counts`` of them, one after the other."""
-    firsts = np.cumsum(counts) - counts
-    return np.arange(int(counts.sum())) + np.repeat(starts - firsts, counts)
-
-
 class Grammar:
     """Levels of symbols over several texts; no symbol reaches over the end of a text.
 

@@ -7,7 +7,7 @@ import zlib
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from rasterloom.llm import bpe, decontaminate, fingerprints, language, lines, periodic, quality, secrets, simhash, toxicity, warc
+from rasterloom.llm import align, bpe, decontaminate, fingerprints, language, lines, periodic, quality, secrets, simhash, toxicity, warc
 from rasterloom.llm.training import id_remainder
 
 
@@ -56,10 +56,10 @@ def op6_bpe(spark: SparkSession, sf: str, path: str | None = None) -> DataFrame:
     return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-def vocabulary_path() -> str:
+def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op7_toxicity(spark: SparkSession, sf: str) -> DataFrame:
@@ -84,6 +84,10 @@ def op10_language(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", held_out(1, 3).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op12_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return align.aligned(table(spark, sf, "documents"), align.Pair(vocabulary_path("byte_bpe_50k.json"), vocabulary_path("piece_bpe_32k.model")))
+
+
 def planted_repeats(doc_id: int | None, words: list[bytes]) -> list[bytes]:
     """Every tenth text by crc32 of the id gets a repeating tail."""
     h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
@@ -120,7 +124,7 @@ QUERIES = {
     query.__name__: query
     for query in (
         op1_fingerprints, op2_quality, op3_secrets, op4_line_dedup, op5_decontamination, op6_bpe, op7_toxicity, op8_warc, op9_simhash,
-        op10_language, op13_periodic_runs, pipeline,
+        op10_language, op12_alignment, op13_periodic_runs, pipeline,
     )
 }
 
