@@ -7,7 +7,7 @@ import zlib
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from rasterloom.llm import align, bpe, decontaminate, fingerprints, language, lines, periodic, quality, secrets, simhash, toxicity, warc
+from rasterloom.llm import align, bpe, decontaminate, fingerprints, language, lines, periodic, quality, secrets, simhash, substrings, toxicity, warc
 from rasterloom.llm.training import id_remainder
 
 
@@ -84,6 +84,12 @@ def op10_language(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", held_out(1, 3).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op11_substrings(spark: SparkSession, sf: str) -> DataFrame:
+    found = substrings.dedup_substrings(table(spark, sf, "documents"))
+    removed = F.aggregate(F.zip_with("starts", "ends", lambda start, end: end - start), F.lit(0).cast("long"), lambda total, size: total + size)
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12_alignment(spark: SparkSession, sf: str) -> DataFrame:
     return align.aligned(table(spark, sf, "documents"), align.Pair(vocabulary_path("byte_bpe_50k.json"), vocabulary_path("piece_bpe_32k.model")))
 
@@ -124,7 +130,7 @@ QUERIES = {
     query.__name__: query
     for query in (
         op1_fingerprints, op2_quality, op3_secrets, op4_line_dedup, op5_decontamination, op6_bpe, op7_toxicity, op8_warc, op9_simhash,
-        op10_language, op12_alignment, op13_periodic_runs, pipeline,
+        op10_language, op11_substrings, op12_alignment, op13_periodic_runs, pipeline,
     )
 }
 
