@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rasterloom.operators.requests import latest_status
 from rasterloom.session import scratch_path
-
-STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
-# Fixed value: Spark's own on-disk state store, so state may outgrow executor memory.
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+from rasterloom.streaming.state import status_machine, use_rocksdb
 
 
 def status_stream(events: DataFrame, extras: list[str]) -> DataFrame:
@@ -17,11 +14,6 @@ def status_stream(events: DataFrame, extras: list[str]) -> DataFrame:
     return latest_status(events, extras)
 
 
-def use_rocksdb(spark: SparkSession) -> None:
-    """Keep streaming state on local disk backed by the checkpoint, not on the heap."""
-    spark.conf.set(STATE_STORE, ROCKSDB)
-
-
 def write_states(states: DataFrame, path: str, checkpoint: str, **trigger):
     """Write each micro-batch's changed states to a folder of its own; a repeated batch replaces itself."""
 
@@ -39,8 +31,6 @@ def write_states(states: DataFrame, path: str, checkpoint: str, **trigger):
 
 def current_states(spark: SparkSession, path: str) -> DataFrame:
     """Newest written state of each request."""
-    from pyspark.sql import functions as F
-
     rows = spark.read.parquet(path)
     fields = [c for c in rows.columns if c not in ("request_id", "batch_id")]
     return (
@@ -50,9 +40,12 @@ def current_states(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def follow_status(spark: SparkSession, source: str, view: str, extras: list[str]) -> DataFrame:
+def follow_status(spark: SparkSession, source: str, view: str, extras: list[str], machine: bool = False) -> DataFrame:
     """Read all of ``source`` as a stream of events, and return the states it ends in.
 
+    With ``machine`` they come from a state machine that forgets requests which
+    have ended, else from an aggregate that holds all of them.
+
     ``view`` is the SQL that turns the source's rows, named ``events``, into
     ``(request_id, event_id, ts, status, extras…)``.
     """
@@ -62,6 +55,7 @@ def follow_status(spark: SparkSession, source: str, view: str, extras: list[str]
     events = spark.sql(view.replace("FROM events", "FROM {events}"), events=stream)
     use_rocksdb(spark)
     target = scratch_path(spark, "states")
-    query = write_states(status_stream(events, extras), target, f"{target}-checkpoint")
+    states = status_machine(events, extras) if machine else status_stream(events, extras)
+    query = write_states(states, target, f"{target}-checkpoint")
     query.awaitTermination()
     return current_states(spark, target)
