@@ -5,16 +5,19 @@ in a row before (by doc_id, null first), or before in the same text.
 
 Every such string (a window) has an anchor, its ``GRAM`` bytes with the least
 hash, the leftmost of equal ones; equal windows have equal anchors. Neighbouring
-windows with one anchor form a segment. Segments whose anchor stands once in
-the corpus hold nothing repeated. The others are cut out, equal ones become
-one (the earliest, aggregated before and after the shuffle), and all segments of
-an anchor go to one shard. A shard's suffix array is made by induced sorting:
+windows with one anchor form a segment, and a segment is known by its anchor
+and a digest of its bytes. Segments whose anchor stands once in the corpus hold
+nothing repeated. Of equal segments all but the earliest are repeats as a whole.
+Where all segments of an anchor are equal, the earliest holds no repeat either,
+since two equal windows of one segment would have one place. What is left are
+anchors in several surroundings: their earliest segments are cut out of the
+texts, and all of an anchor go to one shard. A shard's suffix array is made by
+induced sorting:
 suffixes are classified, leftmost-smaller substrings are sorted by recursion,
 and the rest is induced in linear work, in blocks of entries that do not reach
 each other. Common prefixes are computed in text order (irreducible ones by
 comparison, the others follow). Where ``LENGTH`` bytes are common, all windows
-but the earliest are repeats; so are all windows of a segment that is not the
-earliest of its equals.
+but the earliest are repeats.
 
 An anchor with more than ``CROWD`` different segments is cut by longer cores:
 windows are parted by how far before the anchor they begin, and keyed by all
@@ -34,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from rasterloom.llm.texts import POWERS, mixed, row_id, sliced, spread, text_key, whole_text
 from rasterloom.session import cut_lineage, scratch_path
@@ -67,8 +70,8 @@ def parts(texts: list[bytes], limit: int = PART) -> Iterator[list[tuple[int, int
         yield held
 
 
-def segments(stretches: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Text, first window, number of windows, place of the anchor behind the first window, and the anchor's hash, of all segments."""
+def segments(stretches: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, ...]:
+    """Text, first window, number of windows, place of the anchor behind the first window, hash of the anchor and digest of the bytes, of all segments."""
     data = np.frombuffer(b"".join(each for _, _, each in stretches), np.uint8)
     sizes = np.array([len(each) for _, _, each in stretches], np.int64)
     begins = np.cumsum(sizes) - sizes
@@ -93,7 +96,10 @@ def segments(stretches: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, np.nd
     counts = np.diff(heads, append=len(at))
     offsets = np.array([offset for _, offset, _ in stretches], np.int64)
     numbers = np.array([number for number, _, _ in stretches], np.int64)
-    return numbers[stretch], at[heads] - begins[stretch] + offsets[stretch], counts, anchor[heads] - at[heads], hashes[anchor[heads]].view(np.int64)
+    first = at[heads]
+    digest = mixed((sums[first + counts + LENGTH - 1] - sums[first]) * down[first] + counts.astype(np.uint64))
+    place = first - begins[stretch] + offsets[stretch]
+    return numbers[stretch], place, counts, anchor[heads] - first, hashes[anchor[heads]].view(np.int64), digest.view(np.int64)
 
 
 def text_rows(docs: DataFrame) -> DataFrame:
@@ -114,28 +120,39 @@ def named_rows(docs: DataFrame) -> DataFrame:
 
 
 def anchors(docs: DataFrame, places: bool) -> DataFrame:
-    """The ``key`` (hash of the anchor) of every segment; with ``places`` also whose it is and where it stands."""
+    """The ``key`` (hash of the anchor) of every segment; with ``places`` also its digest, whose it is and where it stands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             for stretches in parts([text.encode() for text in batch.column("text").to_pylist()]):
-                text, at, counts, lead, key = segments(stretches)
+                text, at, counts, lead, key, digest = segments(stretches)
                 columns, names = [pa.array(key)], ["key"]
                 if places:
                     of = pa.array(text)
-                    columns += [batch.column("rid").take(of), batch.column("rkey").take(of), pa.array(at << 16 | counts << 8 | lead)]
-                    names += ["rid", "rkey", "place"]
+                    columns += [pa.array(digest), batch.column("rid").take(of), batch.column("rkey").take(of), pa.array(at << 16 | counts << 8 | lead)]
+                    names += ["digest", "rid", "rkey", "place"]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     rows = named_rows(docs).select(*(("rid", "rkey") if places else ()), "text")
-    return rows.mapInArrow(run, "key long" + (", rid long, rkey int, place long" if places else ""))
+    return rows.mapInArrow(run, "key long" + (", digest long, rid long, rkey int, place long" if places else ""))
+
+
+def written(rows: DataFrame, name: str) -> DataFrame:
+    """The rows as a table in the shared folder."""
+    path = scratch_path(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.parquet(path)
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """``rid``, ``rkey`` and ``places`` (of segments whose anchor stands elsewhere too), a row per text with any."""
+    """All segments whose anchor stands elsewhere too."""
     several = anchors(docs, False).groupBy("key").count().where("count > 1").select("key")
-    found = anchors(docs, True).join(several, "key", "left_semi")
-    return cut_lineage(found.groupBy("rid", "rkey").agg(F.collect_set("place").alias("places")))
+    return written(anchors(docs, True).join(several, "key", "left_semi"), "candidates")
+
+
+def by_text(rows: DataFrame) -> DataFrame:
+    """``rid``, ``rkey`` and ``places`` of the segments of each text; rows of one id and text count once."""
+    return rows.groupBy("rid", "rkey").agg(F.collect_set("place").alias("places"))
 
 
 # ---- segments
@@ -179,6 +196,12 @@ def cut_segments(texts: DataFrame, found: DataFrame) -> DataFrame:
 
 def earliest(rows: DataFrame) -> DataFrame:
     """Of equal segments the one that stands first."""
+    first = F.min(F.struct("rid", "rkey", "place")).alias("first")
+    return rows.groupBy("key", "digest").agg(first).select("key", "digest", "first.rid", "first.rkey", "first.place")
+
+
+def earliest_bodies(rows: DataFrame) -> DataFrame:
+    """Of equal segments that were cut out the one that stands first."""
     first = F.min(F.struct("rid", "rkey", "at")).alias("first")
     return rows.groupBy("key", "body", "lead", "low", "high").agg(first).select("key", "body", "lead", "low", "high", "first.rid", "first.rkey", "first.at")
 
@@ -201,20 +224,13 @@ def halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def uncrowded(rows: DataFrame, crowd: int = CROWD) -> DataFrame:
     """The segments, keyed so that no key has more than ``crowd``; written to the shared folder."""
-    spark = rows.sparkSession
-
-    def written(some: DataFrame) -> DataFrame:
-        path = scratch_path(spark, "segments")
-        some.write.parquet(path)
-        return spark.read.parquet(path)
-
-    held, done = written(earliest(rows)), []
+    held, done = written(rows, "segments"), []
     while True:
         crowded = cut_lineage(held.groupBy("key").agg(F.count("*").alias("n"), F.max(F.col("high") - F.col("low")).alias("width")).where((F.col("n") > crowd) & (F.col("width") > 0)).select("key"))
         if crowded.isEmpty():
             break
         done.append(held.join(crowded, "key", "left_anti"))
-        held = written(earliest(held.join(crowded, "key", "left_semi").mapInArrow(halves, SEGMENT)))
+        held = written(earliest_bodies(held.join(crowded, "key", "left_semi").mapInArrow(halves, SEGMENT)), "segments")
     for some in done:
         held = held.unionByName(some)
     return held
@@ -414,6 +430,11 @@ def first_of_shards(rows: DataFrame) -> DataFrame:
 # ---- spans
 
 
+def all_windows() -> Column:
+    """Bits of all windows of a place."""
+    return F.expr("shiftrightunsigned(-1L, 64 - int(shiftright(place, 8) & 255))")
+
+
 def spans(found: DataFrame, firsts: DataFrame) -> DataFrame:
     """``rid``, ``rkey``, ``starts`` and ``ends`` of the maximal runs of bytes that go, for texts that lose any."""
 
@@ -435,17 +456,20 @@ def spans(found: DataFrame, firsts: DataFrame) -> DataFrame:
             kind = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("rkey"), pa.array(starts, kind), pa.array(ends, kind)], names=["rid", "rkey", "starts", "ends"])
 
-    # segments of a text never overlap, so equal rows of one text give equal bits
-    by_text = firsts.groupBy("rid", "rkey").agg(F.collect_list(F.struct("at", "bits")).alias("first"))
-    both = found.join(by_text, ["rid", "rkey"], "left").select("rid", "rkey", "places", F.col("first.at").alias("at"), F.col("first.bits").alias("bits"))
+    # windows of a text are in one segment each, so its lists are bounded by the text
+    firsts_of = firsts.groupBy("rid", "rkey").agg(F.collect_list(F.struct("at", "bits")).alias("first"))
+    both = found.join(firsts_of, ["rid", "rkey"], "left").select("rid", "rkey", "places", F.col("first.at").alias("at"), F.col("first.bits").alias("bits"))
     return both.mapInArrow(run, "rid long, rkey int, starts array<long>, ends array<long>").where(F.size("starts") > 0)
 
 
 def dedup_substrings(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     """``doc_id``, ``n_bytes``, the ``starts`` and ``ends`` of what goes, and ``kept``, the remaining bytes, of every row."""
     found = candidates(docs)
-    rows = uncrowded(cut_segments(text_rows(docs), found), crowd)
-    gone = spans(found, first_of_shards(rows))
+    firsts = written(earliest(found), "earliest")
+    contested = firsts.groupBy("key").count().where("count > 1").select("key")
+    cut = cut_segments(text_rows(docs), by_text(firsts.join(contested, "key", "left_semi")))
+    alone = firsts.join(contested, "key", "left_anti").select("rid", "rkey", F.shiftright("place", 16).alias("at"), all_windows().alias("bits"))
+    gone = spans(by_text(found), first_of_shards(uncrowded(cut, crowd)).unionByName(alone))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         widen = zstandard.ZstdDecompressor().decompress

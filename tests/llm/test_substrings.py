@@ -65,10 +65,12 @@ def some_texts(rng, n):
 def test_equal_windows_have_one_anchor(limit):
     rng = np.random.default_rng(4)
     texts = [text.encode() for text in some_texts(rng, 60)] + [b"x" * 300, b"ab" * 200, b"", b"y" * 99, b"z" * 100]
-    keys, met = {}, 0
+    keys, met, digests, digests_of = {}, 0, {}, {}
     for stretches in substrings.parts(texts, limit):
-        for number, at, n, lead, key in zip(*(column.tolist() for column in substrings.segments(stretches))):
+        for number, at, n, lead, key, digest in zip(*(column.tolist() for column in substrings.segments(stretches))):
             assert 0 <= lead <= substrings.REACH and 1 <= n <= 64
+            segment = texts[number][at : at + n + substrings.LENGTH - 1]
+            assert digests.setdefault(digest, segment) == segment and digests_of.setdefault(segment, digest) == digest
             for j in range(n):
                 window = texts[number][at + j : at + j + substrings.LENGTH]
                 assert len(window) == substrings.LENGTH
