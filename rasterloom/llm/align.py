@@ -42,7 +42,9 @@ from rasterloom.llm.texts import sliced, spread, whole_text
 from rasterloom.session import scratch_path
 
 # Text of one chunk, and bytes of distinct units that a task keeps aligned.
-CHUNK_BYTES, KEPT_BYTES = 8 << 20, 16 << 20
+CHUNK_BYTES, KEPT_BYTES = 4 << 20, 8 << 20
+# Units whose tokens the libraries hold at a time.
+UNITS = 4096
 # A pair's code: B's id above, A's id below.
 SHIFT = 20
 
@@ -69,6 +71,10 @@ class Pair:
     def __init__(self, a_path: str, b_path: str):
         with open(a_path, encoding="utf-8") as a_file, open(b_path, "rb") as b_file:
             self.a_content, self.b_content = a_file.read(), b_file.read()
+        made = json.loads(self.a_content)
+        before = made["pre_tokenizer"] or {}
+        if made["normalizer"] is not None or before.get("type") != "ByteLevel" or before["add_prefix_space"]:
+            raise ValueError("the first tokenizer must be byte-level, without a normalizer or a blank of its own")
         self.load()
 
     def load(self) -> Loaded:
@@ -82,12 +88,9 @@ class Loaded:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.a = Tokenizer.from_str(a_content)
         self.a.encode_special_tokens = True
-        made = json.loads(self.a.to_str())
-        if made["normalizer"] is not None or (made["pre_tokenizer"] or {}).get("type") != "ByteLevel" or made["pre_tokenizer"]["add_prefix_space"]:
-            raise ValueError("the first tokenizer must be byte-level, without a normalizer or a blank of its own")
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_content)
         sign = byte_of_sign()
-        special = {token["id"] for token in made["added_tokens"]}
+        special = set(self.a.get_added_tokens_decoder())
         size = self.a.get_vocab_size(with_added_tokens=True)
         names = {i: token for token, i in self.a.get_vocab(with_added_tokens=True).items()}
         self.a_bytes = [names[i].encode() if i in special else bytes(sign[c] for c in names.get(i, "")) for i in range(size)]
@@ -104,7 +107,12 @@ class Loaded:
 
 
     def tokens(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        return [each.ids for each in self.a.encode_batch([" " + text for text in texts], add_special_tokens=False)], self.b.encode(texts, num_threads=1)
+        a, b = [], []
+        for at in range(0, len(texts), UNITS):
+            some = texts[at : at + UNITS]
+            a += [each.ids for each in self.a.encode_batch([" " + text for text in some], add_special_tokens=False)]
+            b += self.b.encode(some, num_threads=1)
+        return a, b
 
 
 @dataclass
