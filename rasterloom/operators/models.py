@@ -17,13 +17,12 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from rasterloom.functions.batches import gray_stacks, with_kernel
+from rasterloom.functions.sums import vector_sum
 from rasterloom.operators.manifest import has_label, normal_only
 from rasterloom.operators.statistics import best_epoch, evaluate
 
 # Largest model that may be gathered on the driver and broadcast to executors.
 MODEL_BYTES = 1 << 30
-# Partial sums of one pass are merged from about this many tasks.
-PARTIALS = 512
 # Directions that a search for components carries beyond those asked for.
 SPARE = 8
 
@@ -85,15 +84,6 @@ def scaled_pixels(df: DataFrame, height: int, width: int, out: str = "x") -> Dat
     return with_kernel(df, [T.StructField(out, T.ArrayType(T.DoubleType()))], start, drop=("processed_bytes",))
 
 
-def few_tasks(df: DataFrame, most: int = PARTIALS) -> DataFrame:
-    """The rows in at most ``most`` tasks, without a shuffle.
-
-    Every task sends one partial sum as large as the model; their number must
-    not grow with the number of input splits.
-    """
-    return df.coalesce(most)
-
-
 def class_sums(df: DataFrame, height: int, width: int) -> DataFrame:
     """``(label_idx, images, mean)`` of the scaled pixels of each class.
 
@@ -126,7 +116,7 @@ def class_sums(df: DataFrame, height: int, width: int) -> DataFrame:
             )
 
     schema = "label_idx int, images long, total array<double>"
-    partials = few_tasks(has_label(df).select("label_idx", "processed_bytes")).mapInArrow(partial, schema)
+    partials = has_label(df).select("label_idx", "processed_bytes").mapInArrow(partial, schema)
     total = Summarizer.metrics("sum").summary(F.col("v")).getField("sum").alias("v")
     images = F.sum("images").alias("images")
     merged = (
@@ -234,38 +224,22 @@ def _new_directions(images: np.ndarray, spanned: np.ndarray, size: int, seed: in
 
 def _covariance_times(df: DataFrame, mean: np.ndarray, basis: np.ndarray, height: int, width: int) -> np.ndarray:
     """``Σ (x-m)(x-m)ᵀ · basis`` over all images, one pass."""
-    spark = df.sparkSession
-    shared = spark.sparkContext.broadcast((mean, basis))
+    shared = df.sparkSession.sparkContext.broadcast((mean, basis))
 
-    def partial(batches):
+    def start():
         centre, q = shared.value
-        total = None
-        for batch in batches:
+
+        def add(batch: pa.RecordBatch, total: np.ndarray) -> None:
             for rows, stack in gray_stacks(batch, "processed_bytes", height, width):
                 x = stack.reshape(len(rows), -1) / 255.0 - centre
-                part = x.T @ (x @ q)
-                total = part if total is None else total + part
-        if total is not None:
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.arange(total.shape[1]), pa.int32()),
-                    pa.array(list(np.ascontiguousarray(total.T)), pa.list_(pa.float64())),
-                ],
-                names=["component", "total"],
-            )
+                total += np.ravel(x.T @ (x @ q))
 
-    partials = few_tasks(df.select("processed_bytes")).mapInArrow(partial, "component int, total array<double>")
-    total = Summarizer.metrics("sum").summary(F.col("v")).getField("sum").alias("v")
-    merged = (
-        partials.select("component", array_to_vector("total").alias("v"))
-        .withColumn("part", F.spark_partition_id() % 32)
-        .groupBy("component", "part").agg(total)
-        .groupBy("component").agg(total)
-        .orderBy("component")
-    )
-    rows = merged.collect()  # one row per component
-    shared.destroy()
-    return np.stack([row["v"].toArray() for row in rows], axis=1)
+        return add
+
+    try:
+        return vector_sum(df.select("processed_bytes"), basis.size, start).reshape(basis.shape)
+    finally:
+        shared.destroy()
 
 
 def fit_classifier(

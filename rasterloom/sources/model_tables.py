@@ -6,24 +6,31 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rasterloom.operators.models import Reconstructor, SoftmaxModel
+from rasterloom.operators.training import Network
 
 VECTORS = "part string, idx int, height int, width int, bias double, vector array<double>"
 
 
-def save_classifier(spark: SparkSession, model: SoftmaxModel, path: str) -> None:
-    """One row per class."""
+def save_classifier(spark: SparkSession, model: SoftmaxModel | Network, path: str) -> None:
+    """One row per unit of each layer; the last layer's units are the classes."""
+    layers = list(zip(model.arrays[::2], model.arrays[1::2]))
+    named = [*[f"layer{i}" for i in range(len(layers) - 1)], "class"]
     rows = [
-        ("class", i, model.height, model.width, float(bias), [float(v) for v in weights])
-        for i, (weights, bias) in enumerate(zip(model.weights, model.bias))
+        (part, i, model.height, model.width, float(bias), [float(v) for v in weights])
+        for part, layer in zip(named, layers)
+        for i, (weights, bias) in enumerate(zip(*layer))
     ]
     spark.createDataFrame(rows, VECTORS).write.mode("overwrite").parquet(path)
 
 
-def load_classifier(spark: SparkSession, path: str) -> SoftmaxModel:
-    rows = spark.read.parquet(path).orderBy("idx").collect()  # one row per class
-    return SoftmaxModel(
-        np.array([r["vector"] for r in rows]), np.array([r["bias"] for r in rows]), rows[0]["height"], rows[0]["width"]
-    )
+def load_classifier(spark: SparkSession, path: str) -> SoftmaxModel | Network:
+    rows = spark.read.parquet(path).orderBy("idx").collect()  # one row per unit
+    # "class" sorts before "layer…", but comes last
+    parts = sorted({r["part"] for r in rows}, key=lambda part: (part == "class", len(part), part))
+    layers = [[r for r in rows if r["part"] == part] for part in parts]
+    arrays = [np.array([r[name] for r in layer]) for layer in layers for name in ("vector", "bias")]
+    size = rows[0]["height"], rows[0]["width"]
+    return SoftmaxModel(*arrays, *size) if len(arrays) == 2 else Network(tuple(arrays), *size)
 
 
 def save_reconstructor(spark: SparkSession, model: Reconstructor, path: str) -> None:

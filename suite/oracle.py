@@ -453,6 +453,35 @@ sums AS (SELECT request_id, count(*) AS rows, round(max(t), 6) AS anomaly_thresh
   count(*) FILTER (n > 0) AS flagged, sum(k)::BIGINT AS class_sum FROM hits JOIN ranked USING (vec_id) WHERE rk = 1 GROUP BY request_id)
 SELECT request_id, CASE WHEN label = 10 THEN 'failed' ELSE 'done' END AS status, rows, anomaly_threshold, anomalous_pixels, flagged, class_sum
 FROM asked LEFT JOIN sums USING (request_id)"""
+ORACLE["status_machine"] = ORACLE["status_merge"]
+
+
+def trained(epochs: int, rate: float, penalty: float, classes: int) -> str:
+    """Full-batch steps from zero, an epoch each: w0, w1, … and the probabilities p1, p2, … under them; b is the weight of a constant 1."""
+    steps = ["ones AS (SELECT vec_id, label, split, i, p FROM px UNION ALL SELECT vec_id, label, split, 64, 1.0 FROM img)",
+             f"w0 AS (SELECT k, i, 0.0::DOUBLE AS w FROM range({classes}) a(k), range(65) b(i))"]
+    for t in range(epochs + 1):
+        steps.append(f"s{t} AS (SELECT vec_id, label, split, k, exp(sum(w * p)) AS s FROM ones JOIN w{t} USING (i) GROUP BY ALL)")
+        steps.append(f"p{t} AS (SELECT vec_id, label, split, k, s / sum(s) OVER (PARTITION BY vec_id) AS pr FROM s{t})")
+        if t < epochs:
+            pull = f"{penalty} * CASE WHEN i < 64 THEN w ELSE 0 END"
+            steps.append(f"g{t} AS (SELECT k, i, sum((pr - (label = k)::INT) * p) / count(*) AS g FROM p{t} JOIN ones USING (vec_id, label, split) WHERE split = 'train' GROUP BY ALL)")
+            steps.append(f"w{t + 1} AS (SELECT k, i, w - {rate} * (g + {pull}) AS w FROM w{t} JOIN g{t} USING (k, i))")
+    every = " UNION ALL ".join(f"SELECT {t} AS epoch, * FROM p{t}" for t in range(1, epochs + 1))
+    steps.append(f"seen AS ({every})")
+    steps.append("told AS (SELECT epoch, vec_id, split, arg_max(k, pr)::INT AS pred_idx, max(pr) AS confidence, any_value(label) AS label, -ln(greatest(max(pr) FILTER (k = label), 1e-7)) AS loss FROM seen GROUP BY epoch, vec_id, split)")
+    steps.append("""history AS (SELECT epoch, avg((pred_idx = label)::INT) FILTER (split = 'train') AS accuracy, avg(loss) FILTER (split = 'train') AS loss,
+  avg((pred_idx = label)::INT) FILTER (split = 'val') AS val_accuracy, avg(loss) FILTER (split = 'val') AS val_loss FROM told GROUP BY epoch)""")
+    return ",\n".join(steps)
+
+
+TRAINED = trained(4, 0.5, 0.01, 10)
+ORACLE["training_history"] = f"""WITH {MODEL}, {TRAINED}
+SELECT epoch, 0.01::DOUBLE AS penalty, round(accuracy, 6) AS accuracy, round(loss, 6) AS loss, round(val_accuracy, 6) AS val_accuracy,
+  round(val_loss, 6) AS val_loss FROM history"""
+ORACLE["trained_classifier"] = f"""WITH {MODEL}, {TRAINED},
+best AS (SELECT epoch FROM history ORDER BY coalesce(val_accuracy, accuracy) DESC, epoch LIMIT 1)
+SELECT vec_id, pred_idx, round(confidence, 6) AS classifier_confidence FROM told WHERE epoch = (SELECT epoch FROM best)"""
 ORACLE["full_reconstructor"] = "SELECT vec_id, 0::DOUBLE AS max_error, 0::DOUBLE AS mean_error FROM embeddings"
 ORACLE["preview_membership"] = f"WITH {ENRICHED} SELECT least(count(*), 10) AS shown, least(count(*), 10) AS known FROM kept"
 ORACLE["manifest_reconciled"] = """SELECT sha256('file:/raw/_NORMAL/' || vec_id || '.png') AS image_id, label::INT AS label_idx,

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from rasterloom.functions import paths
 from rasterloom.operators import (
     exports, images as image_ops, manifest as manifests, models, registry, requests as request_ops,
-    sampling, scoring, splits, statistics, summary,
+    sampling, scoring, splits, statistics, summary, training,
 )
 from rasterloom.operators.images import TransformOptions
 from rasterloom.plans import jobs
@@ -20,6 +20,7 @@ from suite.views import in_split, silver, table
 
 SIDE = 8
 NORMAL = 0
+CLASSES = 10
 
 
 def _hex(column: str, name: str | None = None) -> Column:
@@ -568,6 +569,26 @@ def fitted_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame(model.history, "epoch long, accuracy double, loss double, penalty double")
 
 
+TRAINING = training.Plan(epochs=4, rate=0.5, penalties=(0.01,), adam=False)
+
+
+def _trained(rows: DataFrame) -> training.Network:
+    return training.train(in_split(rows, "train"), in_split(rows, "val"), CLASSES, SIDE, SIDE, TRAINING)
+
+
+def trained_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    """Best class of every image under the best epoch of a few full-batch steps."""
+    rows = silver(spark, sf)
+    found = scoring.classify(rows, _trained(rows), 1)
+    return found.select("vec_id", F.col("classifier_pred_idx").alias("pred_idx"), *_rounded("classifier_confidence"))
+
+
+def training_history(spark: SparkSession, sf: str) -> DataFrame:
+    """Accuracy and loss of both splits after each epoch."""
+    made = spark.createDataFrame(_trained(silver(spark, sf)).history, "epoch int, penalty double, accuracy double, loss double, val_accuracy double, val_loss double")
+    return made.select("epoch", "penalty", *_rounded("accuracy", "loss", "val_accuracy", "val_loss"))
+
+
 def fitted_reconstructor(spark: SparkSession, sf: str) -> DataFrame:
     """Errors of every image under the principal components of the normal class."""
     rows = silver(spark, sf)
@@ -606,6 +627,11 @@ def status_merge(spark: SparkSession, sf: str) -> DataFrame:
     return follow_status(spark, f"{sf}/events.parquet", views.REQUESTS, ["threshold_mode", "custom_threshold"])
 
 
+def status_machine(spark: SparkSession, sf: str) -> DataFrame:
+    """The same states, from a state machine that forgets requests which have ended."""
+    return follow_status(spark, f"{sf}/events.parquet", views.REQUESTS, ["threshold_mode", "custom_threshold"], machine=True)
+
+
 def pending_requests(spark: SparkSession, sf: str) -> DataFrame:
     """Bronze rows of the pending requests, and why some have none."""
     waiting = cut_lineage(request_ops.pending(_open(spark, sf)))
@@ -649,8 +675,9 @@ def served_requests(spark: SparkSession, sf: str) -> DataFrame:
     """The request stream, end to end: every request scores the images of one class.
 
     Requests come from the events with their newest overrides, go through the
-    inbox, and are answered in micro-batches; shown are the state each ends in
-    and what its predictions add up to.
+    inbox, and are answered in micro-batches; every third is submitted again
+    with other settings, which changes nothing. Shown are the state each ends
+    in and what its predictions add up to.
     """
     root = scratch_path(spark, "service")
     rows = silver(spark, sf)
@@ -671,6 +698,9 @@ def served_requests(spark: SparkSession, sf: str) -> DataFrame:
     )
     serving.submit(wanted, service)
     serving.serve(spark, service, None).awaitTermination()
+    again = wanted.where(number % 3 == 0).withColumns({"threshold_mode": F.lit("custom"), "custom_threshold": F.lit(-1.0)})
+    again.write.mode("append").option("maxRecordsPerFile", serving.REQUESTS_PER_FILE).json(service.inbox)
+    serving.serve(spark, service, None).awaitTermination()
     states = request_ops.latest_status(serving.status_events(spark, service.output)).select("request_id", "status")
     scored = serving.batch_table(spark, service.output, "scored").where("error IS NULL")
     sums = scored.groupBy("request_id").agg(
@@ -698,7 +728,8 @@ QUERIES = {
         foreground_mask, foreground_crop, normalize_mask, resize_stretch, resize_center_crop,
         resize_keep_aspect_pad, silver_transform, shape_check, class_means, error_maps, overlay, saliency,
         classify_topk, classifier_eval, image_error_stats, threshold_calibration, anomaly_scores, predictions,
-        fitted_classifier, fitted_reconstructor, full_reconstructor, preview_membership, manifest_reconciled, latest_status, status_merge, pending_requests,
+        fitted_classifier, trained_classifier, training_history, fitted_reconstructor, full_reconstructor, preview_membership,
+        manifest_reconciled, latest_status, status_merge, status_machine, pending_requests,
         request_settings, request_results, open_requests, served_requests,
     )
 }
