@@ -7,6 +7,10 @@ back to every place that holds the blob. Blobs and places are small rows: a
 blob at a third of all places is counted with partial minima and joined under
 adaptive skew handling, while texts are shuffled once, by row.
 
+A span in the ledger names the rule and version that found it. Findings take
+the spans of the given rules alone, so an upgraded rule replaces its old spans
+and rules may be added or moved; a ledger row that is there twice counts once.
+
 Spans are code points, end exclusive. Matches are leftmost and do not overlap
 within a kind; those too short are dropped after matching. Null texts count as
 empty and have no spans.
@@ -48,7 +52,7 @@ MORE = (
 )
 RULES = BASE + MORE
 
-SPANS = "array<struct<start:bigint,kind:int,end:bigint>>"
+SPANS = "array<struct<start:bigint,rule:string,end:bigint>>"
 LEDGER = f"blob binary, rules array<string>, spans {SPANS}"
 
 
@@ -99,7 +103,7 @@ def update_ledger(history: DataFrame, ledger: DataFrame | None = None, rules: tu
     spans = (
         whole.withColumn("end", ends)
         .where(F.col("hit.value") >= F.col("least"))
-        .select("blob", F.struct((F.col("end") - F.col("hit.size")).alias("start"), "kind", "end").alias("span"))
+        .select("blob", F.struct((F.col("end") - F.col("hit.size")).alias("start"), F.get(every, "kind").alias("rule"), "end").alias("span"))
         .groupBy("blob")
         .agg(F.array_sort(F.collect_list("span")).alias("spans"))
     )
@@ -107,9 +111,12 @@ def update_ledger(history: DataFrame, ledger: DataFrame | None = None, rules: tu
     return todo.select("blob", "rules").join(spans, "blob", "left").select("blob", "rules", F.coalesce("spans", empty).alias("spans"))
 
 
-def findings(history: DataFrame, ledger: DataFrame) -> DataFrame:
-    """``doc_id`` and all ``spans`` of every row of the history, by start and kind."""
-    held = ledger.groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
+def findings(history: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """``doc_id`` and the ``spans`` that the given rules found in every row of the history, by start and kind (place in ``rules``)."""
+    names = F.array(*[F.lit(rule.name) for rule in rules])
+    spans = F.transform("spans", lambda span: F.struct(span["start"].alias("start"), (F.array_position(names, span["rule"]) - 1).cast("int").alias("kind"), span["end"].alias("end")))
+    current = ledger.select("blob", F.filter(spans, lambda span: span["kind"] >= 0).alias("spans"))
+    held = current.groupBy("blob").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
     return places(history).join(held, "blob", "left").select("doc_id", "spans")
 
 

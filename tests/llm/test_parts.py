@@ -1,6 +1,7 @@
 """Parts of the operators on cases made for them."""
 
 import random
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,23 @@ def test_ledger_scans_only_what_it_lacks(spark):
     assert [tuple(s) for s in found[3]] == [(0, 2, 30)]
 
 
+def test_an_upgraded_rule_replaces_its_spans(spark):
+    """Spans of old versions, of rules that are gone and of ledger rows held twice do not show; rules may change places."""
+    history = frame(spark, [(1, "token=abcdefg"), (2, "token=abcdefg AKIA" + "A" * 20), (3, None)])
+    old = secrets.BASE
+    wider = replace(old[0], version=2)
+    narrower = replace(old[0], version=3, least=50)
+    ledger = spark.createDataFrame(secrets.update_ledger(history, rules=old).collect(), secrets.LEDGER)
+    for rules in ((wider, *old[1:]), (old[1], wider), (narrower, old[1])):
+        more = secrets.update_ledger(history, ledger, rules).collect()
+        ledger = ledger.union(spark.createDataFrame(more, secrets.LEDGER)) if more else ledger
+        fresh = secrets.update_ledger(history, rules=rules)
+        for held in (ledger, ledger.union(ledger)):
+            assert sorted(map(str, secrets.findings(history, held, rules).collect())) == sorted(map(str, secrets.findings(history, fresh, rules).collect()))
+    assert [len(row["spans"]) for row in secrets.findings(history, ledger, (wider, old[1])).orderBy("doc_id").collect()] == [1, 2, 0]
+    assert [len(row["spans"]) for row in secrets.findings(history, ledger, (narrower,)).orderBy("doc_id").collect()] == [0, 0, 0]
+
+
 def test_a_key_across_many_ranges(spark):
     line = "a line that nearly all documents hold, word for word, today"
     docs = frame(spark, [(i, f"{line}\n{i}\n{line}") for i in range(3000)] + [(i, f"rare line number {i} with some more words in it\nz") for i in range(4)])
