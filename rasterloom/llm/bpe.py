@@ -54,6 +54,9 @@ class Vocabulary:
         whole = [self.load().encode(text, add_special_tokens=False).ids for text in ("ab cd", "ab", "cd", "ab \n cd")]
         if whole[0] != whole[1] + whole[2] or whole[0] != whole[3]:
             raise ValueError("chunks are joined at blanks: the tokenizer must drop them")
+        cased = "Stone The RIVER Éa ÑU Straße"
+        if self.load().encode(cased, add_special_tokens=False).ids != self.load().encode(cased.lower(), add_special_tokens=False).ids:
+            raise ValueError("words are looked up in lower case: the tokenizer must not tell cases apart")
 
     def load(self) -> Tokenizer:
         tokenizer = Tokenizer.from_str(self.content)

@@ -11,8 +11,10 @@ of some 25 characters; the root is the whole item.
 
 Null and empty texts match nothing, nor does an item without letters or digits.
 Items are a stated query set. They are measured and sent to the tasks in blocks
-of bounded size, each block one pass over the texts. Repeated rows give
-repeated results.
+of bounded size, each block one pass over the texts. Repeated documents give
+repeated results. Items are told apart by id and text: equal rows are one item,
+different texts of one id, or without an id, are items of their own, and each
+that a text holds gives a row.
 """
 
 from __future__ import annotations
@@ -139,25 +141,25 @@ class Matcher:
         if self.empty:
             return []
         text = normal_form(raw)
-        best: dict[int, tuple] = {}
+        best: dict[Item, tuple] = {}
         tried: set[tuple[int, int, int]] = set()
         for last, (length, held) in self.automaton.iter(text):
             at = last - length + 1
             for item, piece in held:
                 key = (id(item), piece, at)
-                if key in tried or (item.item_id in best and best[item.item_id][0] == 0):
+                if key in tried or (item in best and best[item][0] == 0):
                     continue
                 tried.add(key)
                 found = item.match(text, piece, at)
-                if found and (item.item_id not in best or found < best[item.item_id][:2]):
-                    best[item.item_id] = *found, len(item.text)
-        return [(item_id, distance, length, end) for item_id, (distance, end, length) in best.items()]
+                if found and (item not in best or found < best[item]):
+                    best[item] = found
+        return [(item.item_id, distance, len(item.text), end) for item, (distance, end) in best.items()]
 
 
 def item_blocks(items: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int, str]]]:
     """The items in blocks of bounded size; no more than a block and one item are held at once."""
     block, held = [], 0
-    for row in items.select("item_id", "text").toLocalIterator():
+    for row in items.select("item_id", "text").distinct().toLocalIterator():
         block.append((row["item_id"], row["text"]))
         held += len(row["text"] or "")
         if held >= block_chars:

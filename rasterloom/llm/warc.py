@@ -34,9 +34,19 @@ BREAKING = frozenset(
     " hr html li main nav ol option p pre section select table tbody td tfoot th thead title tr ul".split()
 )
 
-_MARK = re.compile(rf"<!--.*?(?:-->|\Z)|<({'|'.join(SILENT)})\b.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S | re.I)
-_HREF = re.compile(r"""\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)(?:</title\s*>|\Z)", re.S | re.I)
+# What stands in a tag: a value in quotes may hold any sign, also the one that ends tags.
+_WITHIN = r"""(?:[^>=]+|=\s*"[^"]*"|=\s*'[^']*'|=)*+"""
+_MARK = re.compile(rf"<!--.*?(?:-->|\Z)|<({'|'.join(SILENT)})\b.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)({_WITHIN})(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S | re.I)
+_ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+_TITLE = re.compile(rf"<title\b{_WITHIN}>(.*?)(?:</title\s*>|\Z)", re.S | re.I)
+
+
+def attribute(within: str, name: str) -> str | None:
+    """The value of a tag's first attribute of this name, None without one."""
+    for found in _ATTRIBUTE.finditer(within):
+        if found[1].lower() == name:
+            return html.unescape(next((value for value in found.groups()[1:] if value is not None), ""))
+    return None
 
 
 def plain_text(page: str) -> tuple[str, list[str]]:
@@ -48,8 +58,8 @@ def plain_text(page: str) -> tuple[str, list[str]]:
         if name is None:
             return " " if mark[1] else ""
         name = name.lower()
-        if name == "a" and not mark[2] and (href := _HREF.search(mark[4])):
-            links.append(html.unescape(href[1] or href[2] or href[3] or ""))
+        if name == "a" and not mark[2] and (href := attribute(mark[4], "href")) is not None:
+            links.append(href)
         return "\n" if name in BREAKING else ""
 
     # line ends of the source are blanks; only blocks make lines

@@ -1,7 +1,11 @@
 """Parts of the operators on cases made for them."""
 
+import base64
+import hashlib
+import json
 import random
 from dataclasses import replace
+from html.parser import HTMLParser
 
 import numpy as np
 import pyarrow as pa
@@ -192,6 +196,68 @@ def test_held_out_accuracy(spark, name, divisor, least):
     assert right.agg(F.avg("ok")).first()[0] >= least
 
 
+class Links(HTMLParser):
+    """An independent reading of a page's links and title."""
+
+    def __init__(self, page):
+        super().__init__()
+        self.links, self.title, self.in_title = [], "", False
+        self.feed(page)
+
+    def handle_starttag(self, tag, attrs):
+        self.in_title = tag == "title"
+        if tag == "a" and (found := [value for name, value in attrs if name == "href"]):
+            self.links.append(found[0] or "")
+
+    def handle_endtag(self, tag):
+        self.in_title = False
+
+    def handle_data(self, data):
+        self.title += data if self.in_title else ""
+
+
+def test_quoted_values_may_hold_any_sign():
+    for page, expected, links in (
+        ('<a title="x > y" href="/z">t</a>', "t", ["/z"]),
+        ("<a title='href=\"no\"' HREF = '/q?a>b&amp;c'>u</a> v", "u v", ["/q?a>b&c"]),
+        ("<a data-href=/n href=/w/x/>w</a><a name=k>k</a><a href>e</a>", "wke", ["/w/x/", ""]),
+        ("<p>it's <b a=it's>bold</b> \"so\"</p>", 'it\'s bold "so"', []),
+        ('<a href="/open>rest of <b>page</b>', "rest of page", ['"/open']),
+        ('<title data-x="a>b">T &amp; U</title>x', "T & U\nx", []),
+    ):
+        assert warc.plain_text(page) == (expected, links)
+
+
+def test_derived_records_against_an_independent_parser(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    held = {row["page_id"]: row for row in pages.collect()}
+    seen = 0
+    for row in warc.derive(warc.responses(pages)).where("warc_type = 'metadata'").collect():
+        raw = held[row["page_id"]]["html"] or ""
+        block, parsed = json.loads(row["block"]), Links(raw)
+        assert block["links"] == parsed.links and block["title"] == " ".join(parsed.title.split())
+        assert block["payload_digest"] == row["source_payload_digest"] == "sha1:" + base64.b32encode(hashlib.sha1(raw.encode()).digest()).decode()
+        assert ["Content-Length", str(len(raw.encode()))] in block["headers"] and row["source_header"].startswith(block["status"])
+        seen += len(block["links"])
+    assert seen > 0
+
+
+def test_items_of_one_id_are_found_each(spark):
+    one, other = "seven wonders of the ancient world", "a quick brown fox jumps over it"
+    docs = frame(spark, [(1, f"{one} and {other}"), (2, other), (3, None)])
+    items = spark.createDataFrame([(1, one), (1, other), (1, one), (None, other), (None, None)], "item_id long, text string")
+    found = [(row["doc_id"], row["item_id"], row["distance"], row["item_chars"]) for row in decontaminate.find_items(docs, items).collect()]
+    assert sorted(found, key=str) == sorted([(1, 1, 0, len(one)), (1, 1, 0, len(other)), (1, None, 0, len(other)), (2, 1, 0, len(other)), (2, None, 0, len(other))], key=str)
+
+
+def test_tokenizers_that_tell_cases_apart_are_refused(tmp_path):
+    made = json.loads(open(queries.vocabulary_path(), encoding="utf-8").read())
+    made["normalizer"] = None
+    (tmp_path / "cased.json").write_text(json.dumps(made), encoding="utf-8")
+    with pytest.raises(ValueError, match="cases"):
+        bpe.Vocabulary(str(tmp_path / "cased.json"))
+
+
 def test_plain_text_of_a_page():
     page = "<html><head><title>T &amp; U</title><style>p{}</style></head><body><!-- x > y --><p>One\n two<p>a<b>b</b>c &lt;d&gt; <a href='/q?a=1&amp;b=2'>link</a><script>var x='</p>'</script><br/>end"
     text, links = warc.plain_text(page)
