@@ -48,8 +48,10 @@ GRAM = 37
 REACH = LENGTH - GRAM
 # Bytes of a shard, about, and different segments of an anchor that go to one.
 SHARD_BYTES, CROWD = 2 << 20, 4096
-# Windows of a text that one pass finds anchors for.
-PART = 1 << 20
+# Suffixes from which on an order is scanned in blocks.
+BLOCKS_FROM = 300_000
+# Windows of a text that one pass finds anchors for; what it computes on then fits a core's cache.
+PART = 1 << 16
 
 
 # ---- anchors
@@ -119,22 +121,21 @@ def named_rows(docs: DataFrame) -> DataFrame:
     return docs.select(row_id().alias("rid"), text_key().bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("rkey"), F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
 
 
-def anchors(docs: DataFrame, places: bool) -> DataFrame:
-    """The ``key`` (hash of the anchor) of every segment; with ``places`` also its digest, whose it is and where it stands."""
+def anchors(docs: DataFrame) -> DataFrame:
+    """``key`` (hash of the anchor) and ``digest`` of every segment, whose it is and where it stands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
-            for stretches in parts([text.encode() for text in batch.column("text").to_pylist()]):
-                text, at, counts, lead, key, digest = segments(stretches)
-                columns, names = [pa.array(key)], ["key"]
-                if places:
-                    of = pa.array(text)
-                    columns += [pa.array(digest), batch.column("rid").take(of), batch.column("rkey").take(of), pa.array(at << 16 | counts << 8 | lead)]
-                    names += ["digest", "rid", "rkey", "place"]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+            found = [segments(stretches) for stretches in parts([text.encode() for text in batch.column("text").to_pylist()])]
+            if found:
+                text, at, counts, lead, key, digest = (np.concatenate(columns) for columns in zip(*found))
+                of = pa.array(text)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key), pa.array(digest), batch.column("rid").take(of), batch.column("rkey").take(of), pa.array(at << 16 | counts << 8 | lead)],
+                    names=["key", "digest", "rid", "rkey", "place"],
+                )
 
-    rows = named_rows(docs).select(*(("rid", "rkey") if places else ()), "text")
-    return rows.mapInArrow(run, "key long" + (", digest long, rid long, rkey int, place long" if places else ""))
+    return named_rows(docs).select("rid", "rkey", "text").mapInArrow(run, "key long, digest long, rid long, rkey int, place long")
 
 
 def written(rows: DataFrame, name: str) -> DataFrame:
@@ -146,8 +147,9 @@ def written(rows: DataFrame, name: str) -> DataFrame:
 
 def candidates(docs: DataFrame) -> DataFrame:
     """All segments whose anchor stands elsewhere too."""
-    several = anchors(docs, False).groupBy("key").count().where("count > 1").select("key")
-    return written(anchors(docs, True).join(several, "key", "left_semi"), "candidates")
+    every = written(anchors(docs), "anchors")
+    several = every.groupBy("key").count().where("count > 1").select("key")
+    return written(every.join(several, "key", "left_semi"), "candidates")
 
 
 def by_text(rows: DataFrame) -> DataFrame:
@@ -242,7 +244,7 @@ def uncrowded(rows: DataFrame, crowd: int = CROWD) -> DataFrame:
 def rising(s: np.ndarray) -> np.ndarray:
     """Whether each suffix is smaller than the next one; the last, a sentinel, counts as such."""
     n = len(s)
-    change = np.sign(np.diff(s))
+    change = (s[1:] > s[:-1]).astype(np.int8) - (s[1:] < s[:-1])
     place = np.where(change != 0, np.arange(n - 1), n)
     following = np.minimum.accumulate(place[::-1])[::-1] if n > 1 else place
     found = np.ones(n, bool)
@@ -250,46 +252,74 @@ def rising(s: np.ndarray) -> np.ndarray:
     return found
 
 
-def induce(s: np.ndarray, order: np.ndarray, small: np.ndarray, ends: np.ndarray, backwards: bool) -> None:
+def induce(s: np.ndarray, order: np.ndarray, small: np.ndarray, ends: np.ndarray, backwards: bool) -> np.ndarray:
     """Place, in one scan of ``order``, the suffix before each entry, if it is of the scanned kind, at its bucket's free end.
 
     Forwards the larger suffixes go to the heads of their buckets; backwards the
-    smaller ones to the tails. The scan goes in blocks that no entry of the
-    block places anything into.
+    smaller ones to the tails. What is placed lies ahead of the scan and is met
+    by it. Long orders are scanned in blocks that no entry of the block places
+    anything into, short ones entry by entry.
     """
-    n, at, width, way = len(order), 0, 256, -1 if backwards else 1
+    if len(order) < BLOCKS_FROM:
+        return one_by_one(s.tolist(), order.tolist(), small.tolist(), ends.tolist(), backwards)
+    n, at, width = len(order), 0, 256
     view = order[::-1] if backwards else order
     # free places counted in the direction of the scan
     free = n - ends if backwards else ends.copy()
+    numbers, limits = np.arange(1, n + 1, dtype=np.int32), np.empty(1 << 18, np.int64)
     while at < n:
         block = view[at : at + width]
         before = block - 1
-        which = np.flatnonzero(block > 0)
-        which = which[small[before[which]] == backwards]
+        taken = small[before] == backwards
+        taken &= before >= 0
+        which = taken.nonzero()[0]
         before = before[which]
         letters = s[before]
-        limit = np.full(len(block), n + 1, np.int64)
+        limit = limits[: len(block)]
+        limit[:] = n + 1
         limit[which] = free[letters] - at
-        reach = int((np.minimum.accumulate(limit) >= np.arange(1, len(block) + 1)).sum())
-        some = int(np.searchsorted(which, reach))
+        reach = int(np.count_nonzero(np.minimum.accumulate(limit) >= numbers[: len(block)]))
+        some = len(which) if reach == len(block) else int(which.searchsorted(reach))
         if some:
             before, letters = before[:some], letters[:some]
-            sort = np.argsort(letters, kind="stable")
+            sort = letters.argsort(kind="stable")
             ranked = letters[sort]
-            heads = np.flatnonzero(np.diff(ranked, prepend=-1))
-            counts = np.diff(heads, append=some)
+            new = np.empty(some, bool)
+            new[0] = True
+            np.not_equal(ranked[1:], ranked[:-1], out=new[1:])
+            heads = new.nonzero()[0]
             own = ranked[heads]
-            view[np.repeat(free[own] - heads, counts) + np.arange(some)] = before[sort]
+            counts = np.empty(len(heads), np.int64)
+            counts[:-1] = heads[1:] - heads[:-1]
+            counts[-1] = some - heads[-1]
+            view[(free[own] - heads).repeat(counts) + numbers[:some] - 1] = before[sort]
             free[own] += counts
         at += reach
-        width = min(2 * width, 1 << 18) if reach == len(block) else max(64, 2 * reach)
+        width = min(len(limits), 2 * width if reach == len(block) else max(64, 2 * reach))
+    return order
+
+
+def one_by_one(s: list[int], order: list[int], small: list[bool], ends: list[int], backwards: bool) -> np.ndarray:
+    """The scan of ``induce``; a list under a loop shows what is placed ahead."""
+    for entry in reversed(order) if backwards else order:
+        before = entry - 1
+        if before >= 0 and small[before] == backwards:
+            letter = s[before]
+            place = ends[letter]
+            if backwards:
+                place -= 1
+                ends[letter] = place
+            else:
+                ends[letter] = place + 1
+            order[place] = before
+    return np.array(order, np.int32)
 
 
 def suffix_array(s: np.ndarray, letters: int) -> np.ndarray:
     """Order of all suffixes of ``s``, whose last letter is 0 and stands nowhere else."""
     n = len(s)
     if n == 1:
-        return np.zeros(1, np.int64)
+        return np.zeros(1, np.int32)
     small = rising(s)
     marks = np.flatnonzero(small[1:] & ~small[:-1]) + 1
     counts = np.bincount(s, minlength=letters)
@@ -298,7 +328,7 @@ def suffix_array(s: np.ndarray, letters: int) -> np.ndarray:
 
     def sorted_from(seeds: np.ndarray) -> np.ndarray:
         """All suffixes, induced from the leftmost-smaller ones in the given order."""
-        order = np.full(n, -1, np.int64)
+        order = np.full(n, -1, np.int32)
         letter = s[seeds]
         sort = np.argsort(letter, kind="stable")
         ranked = letter[sort]
@@ -306,10 +336,9 @@ def suffix_array(s: np.ndarray, letters: int) -> np.ndarray:
         sizes = np.diff(first, append=len(seeds))
         own = ranked[first]
         order[np.repeat(tails[own] - sizes - first, sizes) + np.arange(len(seeds))] = seeds[sort]
-        induce(s, order, small, heads, False)
-        order[small[np.maximum(order, 0)] & (order >= 0) & (order != n - 1)] = -1
-        induce(s, order, small, tails, True)
-        return order
+        order = induce(s, order, small, heads, False)
+        order[small[np.maximum(order, 0)] & (order != n - 1)] = -1
+        return induce(s, order, small, tails, True)
 
     order = sorted_from(marks)
     is_mark = np.zeros(n, bool)
@@ -326,7 +355,7 @@ def suffix_array(s: np.ndarray, letters: int) -> np.ndarray:
         sizes = length[a[same]]
         unequal = s[spread(a[same], sizes)] != s[spread(b[same], sizes)]
         differ[same] = np.add.reduceat(unequal, np.cumsum(sizes) - sizes) > 0
-    names = np.zeros(n, np.int64)
+    names = np.zeros(n, np.int32)
     names[ranked] = np.append(0, np.cumsum(differ))
     reduced = names[marks]
     kinds = int(reduced.max()) + 1
@@ -352,7 +381,7 @@ def common_prefixes(s: np.ndarray, order: np.ndarray) -> np.ndarray:
     alone[inner] = s[inner - 1] != s[other[inner] - 1]
     heads = np.flatnonzero(alone)
     length = np.zeros(len(heads), np.int64)
-    padded = np.concatenate([s, -1 - np.arange(16)])
+    padded = np.concatenate([s, -1 - np.arange(16, dtype=s.dtype)])
     active = np.flatnonzero(other[heads] >= 0)
     steps = np.arange(16)
     while len(active):
@@ -374,7 +403,7 @@ def first_windows(bodies: list[bytes], begins: np.ndarray) -> np.ndarray:
     """
     sizes = np.array([len(body) for body in bodies], np.int64)
     starts = np.cumsum(sizes + 1) - sizes - 1
-    s = np.frombuffer(b"".join(bodies), np.uint8).astype(np.int64) + 2
+    s = np.frombuffer(b"".join(bodies), np.uint8).astype(np.int16) + np.int16(2)
     s = np.insert(s, np.cumsum(sizes), 1)
     s = np.append(s, 0)
     order = suffix_array(s, 258)
