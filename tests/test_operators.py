@@ -202,18 +202,39 @@ def test_thresholds_are_exact(spark):
     assert np.isclose(found["max_pixel_error_std"], errors[:, 1].std()) and np.isclose(found["mean_pixel_error_mean"], errors[:, 0].mean())
 
 
-def test_running_equals_one_window(spark):
-    rng = np.random.default_rng(2)
-    data = [("hot" if rng.random() < 0.7 else "cold", i, float(rng.integers(0, 50))) for i in range(400)]
-    rows = spark.createDataFrame(data, "k string, t long, v double")
-    got = statistics.running(
-        rows, ["k"], "t", 37,
-        {"top": (F.max, F.col("v"), False), "low": (F.min, F.col("v"), True), "n": (F.sum, F.lit(1), True)},
-    ).collect()
-    for r in got:
-        before = [v for k, t, v in data if k == r.k and t < r.t]
-        assert r.top == (max(before) if before else None)
-        assert r.low == min(before + [r.v]) and r.n == len(before) + 1
+def test_running_best_over_blocks(spark):
+    rng = np.random.default_rng(4)
+    rows = [(run, epoch, float(rng.integers(0, 9)) if rng.random() < 0.95 else None) for run in ("a", "b") for epoch in sorted(rng.choice(200, 60, replace=False).tolist())]
+    table = spark.createDataFrame(rows, "run string, epoch long, score double")
+    for width in (1, 7, 1000):
+        got = {(r.run, r.epoch): (r.nth, r.best) for r in statistics.running_best(table, width).collect()}
+        for run in ("a", "b"):
+            best = None
+            for nth, (_, epoch, score) in enumerate([r for r in rows if r[0] == run], 1):
+                if best is None or (score is not None and (best[0] is None or score > best[0])):
+                    best = (score, epoch, nth)
+                assert got[run, epoch] == (nth, (best[0], -best[1], best[2]))
+
+
+def test_patience_equals_a_plain_reading(spark):
+    rng = np.random.default_rng(6)
+    rows = [(f"r{k}", epoch, float(rng.integers(0, 6))) for k in range(12) for epoch in range(int(rng.integers(1, 40)))]
+    table = spark.createDataFrame(rows, "run string, epoch long, metric double")
+    for mode, patience, width in (("max", 3, 5), ("min", 1, 1), ("max", 8, 100)):
+        sign = 1 if mode == "max" else -1
+        expected = set()
+        for k in range(12):
+            best, waited, stop, n = None, 0, None, 0
+            for run, epoch, metric in rows:
+                if run == f"r{k}" and stop is None:
+                    n += 1
+                    if best is None or sign * metric > sign * best[1]:
+                        best, waited = (epoch, metric), 0
+                    else:
+                        waited += 1
+                        stop = epoch if waited >= patience else None
+            expected.add((f"r{k}", *best, n, stop))
+        assert {tuple(r) for r in statistics.best_epoch(table, mode, patience, width).collect()} == expected
 
 
 def test_best_epoch_stops_after_patience(spark):
