@@ -42,7 +42,7 @@ from rasterloom.llm.texts import sliced, spread, whole_text
 from rasterloom.session import scratch_path
 
 # Text of one chunk, and bytes of distinct units that a task keeps aligned.
-CHUNK_BYTES, KEPT_BYTES = 4 << 20, 8 << 20
+CHUNK_BYTES, KEPT_BYTES = 4 << 20, 20 << 20
 # Units whose tokens the libraries hold at a time.
 UNITS = 4096
 # A pair's code: B's id above, A's id below.
