@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
@@ -50,6 +51,8 @@ REACH = LENGTH - GRAM
 SHARD_BYTES, CROWD = 2 << 20, 4096
 # Suffixes from which on an order is scanned in blocks.
 BLOCKS_FROM = 300_000
+# Texts whose spans are put together at once, and bits for a place within one.
+TEXTS, TEXT_SHIFT = 1024, 44
 # Windows of a text that one pass finds anchors for; what it computes on then fits a core's cache.
 PART = 1 << 16
 
@@ -141,7 +144,7 @@ def anchors(docs: DataFrame) -> DataFrame:
 def written(rows: DataFrame, name: str) -> DataFrame:
     """The rows as a table in the shared folder."""
     path = scratch_path(rows.sparkSession, name)
-    rows.write.parquet(path)
+    rows.write.option("compression", "zstd").parquet(path)
     return rows.sparkSession.read.parquet(path)
 
 
@@ -464,26 +467,39 @@ def all_windows() -> Column:
     return F.expr("shiftrightunsigned(-1L, 64 - int(shiftright(place, 8) & 255))")
 
 
+def ragged(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All values of a column of lists, and how many each row has."""
+    return column.flatten().to_numpy(zero_copy_only=False), pc.list_value_length(column).fill_null(0).to_numpy(zero_copy_only=False)
+
+
+def repeated_runs(places, at, bits) -> tuple[pa.Array, pa.Array]:
+    """Starts and ends of what goes from each text, from its segments and from the windows that stand first, all texts at once."""
+    (place, n_places), (first, n_first), (bit, _) = places, at, bits
+    texts = np.arange(len(n_places)) << TEXT_SHIFT
+    counts = place >> 8 & 255
+    windows = np.sort(np.repeat(np.repeat(texts, n_places), counts) + spread(place >> 16, counts))
+    held = np.unpackbits(np.ascontiguousarray(bit, "<i8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(bool)
+    kept = ((np.repeat(texts, n_first) + first)[:, None] + np.arange(64))[held]
+    gone = np.ones(len(windows), bool)
+    gone[np.searchsorted(windows, kept)] = False
+    windows = windows[gone]
+    # windows that touch or overlap make one run; texts are far apart
+    heads = np.flatnonzero(np.diff(windows, prepend=-LENGTH - 1) > LENGTH)
+    tails = np.append(heads[1:], len(windows))[: len(heads)] - 1
+    offsets = np.searchsorted(windows[heads] >> TEXT_SHIFT, np.arange(len(n_places) + 1)).astype(np.int32)
+    inside = (1 << TEXT_SHIFT) - 1
+    return tuple(pa.ListArray.from_arrays(offsets, (windows[which] & inside) + more) for which, more in ((heads, 0), (tails, LENGTH)))
+
+
 def spans(found: DataFrame, firsts: DataFrame) -> DataFrame:
     """``rid``, ``rkey``, ``starts`` and ``ends`` of the maximal runs of bytes that go, for texts that lose any."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bit = np.arange(REACH + 1, dtype=np.uint64)
         for batch in batches:
-            starts, ends = [], []
-            for places, at, bits in zip(*(batch.column(name).to_pylist() for name in ("places", "at", "bits"))):
-                place = np.array(places, np.int64)
-                windows = spread(place >> 16, place >> 8 & 255)
-                if at:
-                    mask = (np.array(bits, np.int64).view(np.uint64)[:, None] >> bit & np.uint64(1)).astype(bool)
-                    windows = np.setdiff1d(windows, (np.array(at, np.int64)[:, None] + bit.astype(np.int64))[mask])
-                windows = np.sort(windows)
-                # windows that touch or overlap make one run
-                heads = np.flatnonzero(np.diff(windows, prepend=-LENGTH - 1) > LENGTH)
-                starts.append(windows[heads].tolist())
-                ends.append((windows[np.append(heads[1:], len(windows)) - 1] + LENGTH).tolist() if len(windows) else [])
-            kind = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("rkey"), pa.array(starts, kind), pa.array(ends, kind)], names=["rid", "rkey", "starts", "ends"])
+            for at in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(at, TEXTS)
+                starts, ends = repeated_runs(*(ragged(part.column(name)) for name in ("places", "at", "bits")))
+                yield pa.RecordBatch.from_arrays([part.column("rid"), part.column("rkey"), starts, ends], names=["rid", "rkey", "starts", "ends"])
 
     # windows of a text are in one segment each, so its lists are bounded by the text
     firsts_of = firsts.groupBy("rid", "rkey").agg(F.collect_list(F.struct("at", "bits")).alias("first"))

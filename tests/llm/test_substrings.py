@@ -3,6 +3,7 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from rasterloom.llm import queries, substrings
@@ -79,6 +80,35 @@ def test_equal_windows_have_one_anchor(limit):
     assert met == sum(max(0, len(text) - substrings.LENGTH + 1) for text in texts)
 
 
+def test_runs_of_many_texts_equal_those_of_each():
+    rng = np.random.default_rng(12)
+    places, firsts, bits, expected = [], [], [], []
+    for _ in range(50):
+        own, at, gone = [], 0, []
+        for _ in range(rng.integers(0, 6)):
+            at += int(rng.choice([0, 0, 1, 99, 100, 101, 300]))
+            n = int(rng.integers(1, 65))
+            first = rng.random(n) < rng.choice([0, 0.5, 1])
+            own.append((at << 16 | n << 8 | 5, at, sum(1 << i for i in np.flatnonzero(first).tolist()), first))
+            gone += [at + i for i in range(n) if not first[i]]
+            at += n
+        rng.shuffle(own)
+        places.append([o[0] for o in own])
+        some = [o for o in own if o[2]]
+        firsts.append([o[1] for o in some] if some else None)
+        bits.append([o[2] - (1 << 64) if o[2] >> 63 else o[2] for o in some] if some else None)
+        mask = np.zeros(at + 200, bool)
+        for i in gone:
+            mask[i : i + substrings.LENGTH] = True
+        edges = np.diff(mask.astype(int), prepend=0, append=0)
+        expected.append((np.flatnonzero(edges == 1).tolist(), np.flatnonzero(edges == -1).tolist()))
+    kind = pa.list_(pa.int64())
+    starts, ends = substrings.repeated_runs(*(substrings.ragged(pa.array(column, kind)) for column in (places, firsts, bits)))
+    assert list(zip(starts.to_pylist(), ends.to_pylist())) == expected
+    empty = [substrings.ragged(pa.array([], kind))] * 3
+    assert [len(each) for each in substrings.repeated_runs(*empty)] == [0, 0]
+
+
 @pytest.mark.parametrize("crowd", [1, 3, substrings.CROWD])
 def test_rows_equal_a_plain_reading(spark, crowd):
     rng = np.random.default_rng(9)
