@@ -281,6 +281,13 @@ SELECT version, tier, generated_at, rows_written, '/out/' || last AS output_path
 
 # -- samples and statistics ----------------------------------------------------------------
 
+ORACLE["registry_appended"] = """
+WITH e AS (SELECT event_type AS version, CASE WHEN value > 250 THEN 2 WHEN value > 100 THEN 1 ELSE 0 END AS tier, ts, event_id FROM events),
+v AS (SELECT version, tier, max(ts) AS generated_at, count(*) AS rows_written, arg_max(event_id, (ts, event_id)) AS last FROM e GROUP BY ALL)
+SELECT version, tier, generated_at, rows_written, '/out/' || last AS output_path,
+  '/out/' || (SELECT arg_max(last, generated_at) FROM v) AS current_output_path FROM v"""
+ORACLE["summary_stored"] = ORACLE["dataset_summary"]
+ORACLE["files_in_order"] = "SELECT l_returnflag, count(*) AS rows, 1::BIGINT AS files, 0::BIGINT AS out_of_order FROM lineitem GROUP BY l_returnflag"
 ORACLE["sample_per_class"] = f"""WITH {ENRICHED} SELECT image_id, pathology FROM kept
 QUALIFY row_number() OVER (PARTITION BY pathology ORDER BY md5(image_id || '::42'), image_id) <= 5"""
 ORACLE["sample_n"] = f"WITH {ENRICHED} SELECT image_id, pathology FROM kept ORDER BY md5(image_id || '::42'), image_id LIMIT 100"

@@ -238,11 +238,24 @@ def _summary_cells(spark: SparkSession, sf: str) -> DataFrame:
     return summary.index_labels(summary.label_cells(sized))
 
 
+def _summary_row(spark: SparkSession, sf: str) -> DataFrame:
+    shards = _fake_write(split_manifest(spark, sf))
+    return summary.dataset_summary(_summary_cells(spark, sf), shards, {"export_id": "e1", "seed": 42, "n_shards": 16})
+
+
 def dataset_summary(spark: SparkSession, sf: str) -> DataFrame:
     """The one-row summary, flattened to one row per split and label."""
-    cells = _summary_cells(spark, sf)
-    shards = _fake_write(split_manifest(spark, sf))
-    row = summary.dataset_summary(cells, shards, {"export_id": "e1", "seed": 42, "n_shards": 16})
+    return _flat_summary(_summary_row(spark, sf))
+
+
+def summary_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """The summary as it is read back from the file that an export writes."""
+    path = scratch_path(spark, "summary")
+    summary.write_summary(_summary_row(spark, sf), path)
+    return _flat_summary(summary.read_summary(spark, path))
+
+
+def _flat_summary(row: DataFrame) -> DataFrame:
     per_split = row.select("*", F.explode("label_counts_by_split").alias("split", "per_label"))
     return per_split.select("*", F.explode("per_label").alias("label", "rows")).select(
         "export_id", "seed", "n_shards", "rows_total", "files_total", "distinct_labels", "split",
@@ -288,12 +301,11 @@ def label_lookup(spark: SparkSession, sf: str) -> DataFrame:
 # -- registries ----------------------------------------------------------------------------
 
 
-def registry_latest(spark: SparkSession, sf: str) -> DataFrame:
-    """Three upserts of versions taken from events, read back newest first."""
-    path = scratch_path(spark, "registry")
+def _versions(spark: SparkSession, sf: str) -> DataFrame:
+    """A version per event type and tier of values."""
     tier = F.when(F.col("value") > 250, 2).when(F.col("value") > 100, 1).otherwise(0)
     order = F.struct("ts", "event_id")
-    versions = (
+    return (
         table(spark, sf, "events")
         .groupBy(F.col("event_type").alias("version"), tier.alias("tier"))
         .agg(F.max_by(F.struct("ts", "event_id"), order).alias("last"), F.count("*").alias("rows_written"))
@@ -302,12 +314,41 @@ def registry_latest(spark: SparkSession, sf: str) -> DataFrame:
             F.concat(F.lit("/out/"), F.col("last.event_id").cast("string")).alias("output_path"),
         )
     )
+
+
+def registry_latest(spark: SparkSession, sf: str) -> DataFrame:
+    """Three upserts of versions taken from events, read back newest first."""
+    path = scratch_path(spark, "registry")
+    for step in range(3):
+        registry.upsert_registry(_versions(spark, sf).where(F.col("tier") == step), "version", path)
+    return _with_current(registry.read_registry(spark, path))
+
+
+def registry_appended(spark: SparkSession, sf: str) -> DataFrame:
+    """The same versions appended: those of one name stay side by side."""
+    path = scratch_path(spark, "registry")
     for step in range(3):
-        registry.upsert_registry(versions.where(F.col("tier") == step), "version", path)
-    rows = registry.read_registry(spark, path)
+        registry.append_registry(_versions(spark, sf).where(F.col("tier") == step), path)
+    return _with_current(registry.read_registry(spark, path))
+
+
+def _with_current(rows: DataFrame) -> DataFrame:
     return rows.withColumn("current_output_path", registry.current_version(rows).scalar())
 
 
+def files_in_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines dealt by return flag and sorted in files: files a flag lies in, and rows that stand before a smaller order."""
+    path = scratch_path(spark, "lines")
+    rows = table(spark, sf, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber")
+    tables.sort_in_files(tables.repartition_by(rows, 4, ["l_returnflag"]), ["l_returnflag", "l_orderkey", "absent"]).write.parquet(path)
+    held = spark.read.parquet(path).select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    # a row's successor in its file, by joining places; no file has to fit a task
+    after = held.select("file", (F.col("at") - 1).alias("at"), F.struct("l_returnflag", "l_orderkey").alias("following"))
+    placed = held.join(after, ["file", "at"], "left")
+    wrong = F.coalesce(F.struct("l_returnflag", "l_orderkey") > F.col("following"), F.lit(False))
+    return placed.groupBy("l_returnflag").agg(F.count("*").alias("rows"), F.count_distinct("file").alias("files"), F.count_if(wrong).alias("out_of_order"))
+
+
 # -- samples and statistics ----------------------------------------------------------------
 
 
@@ -723,7 +764,7 @@ QUERIES = {
         split_label_counts, manifest_scan_filter, manifest_row_counts, manifest_enrich, label_mapping,
         manifest_labelled, uri_paths, manifest_preview, split_assignment, split_counts, split_registry_names,
         wide_key_split, shard_assignment, export_parquet_shards, export_example_shards, export_reconcile,
-        split_files, dataset_summary, label_inventory, distinct_labels, label_lookup, registry_latest,
+        split_files, dataset_summary, label_inventory, distinct_labels, label_lookup, registry_latest, registry_appended, summary_stored, files_in_order,
         sample_per_class, sample_n, class_counts, class_balance, image_dims, best_epoch, gray_from_bgr,
         foreground_mask, foreground_crop, normalize_mask, resize_stretch, resize_center_crop,
         resize_keep_aspect_pad, silver_transform, shape_check, class_means, error_maps, overlay, saliency,
