@@ -3,9 +3,12 @@
 Words are lower-case runs of letters, hashed to rows of an embedding. Filters
 over one, two and three words in a row are pooled by their maximum over the
 whole text, and a linear layer gives one logit. All of it is trained in numpy
-on a bounded sample of labelled documents. Logits are then shifted by a
-threshold and divided by a temperature, both calibrated on held-back rows of
-that sample. Thresholds are calibrated by language, which is told from function
+on every labelled document: rows are dealt at random to learners of about
+``LEARNER_ROWS`` rows, each a task, which step through theirs; after each epoch
+their networks are averaged, a word's embedding over the learners that met the
+word. Logits are then shifted by a threshold and divided by a temperature, both
+calibrated on the counts of all held-back rows, a fifth, by logit to 1 / ``GRAIN``.
+Thresholds are calibrated by language, which is told from function
 words in the text; a language with too few held-back rows shares the common
 threshold.
 
@@ -15,14 +18,15 @@ zeros. Without labelled rows of both kinds every score is 0. Long texts are
 hashed in pieces and pooled in blocks, so memory is bounded by their words.
 Where labels of one id disagree the larger one counts, every row of a repeated
 id is learned from and scored, and further columns pass through in ``row``. Words that fewer than
-``LEAST_TEXTS`` texts of the sample hold have a zero embedding, so they neither
-raise nor lower a score. That count is the same for every sample; rare words
+``LEAST_TEXTS`` learned texts hold have a zero embedding, so they neither
+raise nor lower a score. That count is the same for every table; rare words
 above it are shrunk: they start from their lean, which is in standard errors,
 and what chance and training add to it is scaled by texts / (texts + SHRINK).
 """
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -31,14 +35,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from rasterloom.llm.texts import joined, run_hashes, runs, sliced, struct_of, text_of
-from rasterloom.llm.training import one_label, sample, share, sigmoid, temperature
+from rasterloom.llm.training import block_sums, labelled, one_label, sample, share, sigmoid, temperature
 from rasterloom.session import cut_lineage
 
-# Labelled documents to learn from at most (about half of them toxic).
-SAMPLE_ROWS = 16_000
-# Words of theirs at most, about; beyond that fewer documents are taken, each whole. The driver gets four bytes a word.
-SAMPLE_WORDS = 32_000_000
-WORDS_SEED = 21
+# Rows that one learner steps through in an epoch, about, and bytes of word rows that it takes in at once.
+LEARNER_ROWS, LEARNER_BYTES = 16_000, 1 << 24
+WORDS_SEED, DEAL_SEED, BACK_SEED = 21, 22, 23
+# Parts of a logit that held-back rows are counted by, and the greatest logit told apart.
+GRAIN, FARTHEST = 256, 40
 ROWS, WIDTH, FILTERS, SPANS = 1 << 16, 16, 16, (1, 2, 3)
 EPOCHS, BATCH, RATE = 8, 32, 0.1
 # Places that are pooled at once.
@@ -156,20 +160,34 @@ class Network:
         return sigmoid((logits - self.thresholds[languages(hashes, owner, len(texts))]) / self.divisor)
 
 
-def train(texts: list[np.ndarray], labels: np.ndarray, seed: int = 1) -> Network:
-    """Fit a network to word rows per text by Adagrad on log loss, all texts of the sample alike.
+class Learner:
+    """A network under training by Adagrad on log loss, with the sums of squares that its steps go by."""
 
-    The sample has more of the rarer label than the table; thresholds and
-    temperature, which follow, are fitted with weights that undo this.
-    """
-    toxic, clean = (holders([text for text, own in zip(texts, labels) if (own > 0) == label]) for label in (True, False))
-    held = toxic + clean
-    seen, trust = held >= LEAST_TEXTS, (held / (held + SHRINK)).astype(np.float32)
-    net = Network.start(seen, standard_score(toxic, labels.sum(), clean, len(labels) - labels.sum()), trust, seed)
-    rng = np.random.default_rng(seed)
-    shares = [np.full_like(each, 1e-4) for each in (net.embedding, *net.filters, net.bias, net.out)]
-    for epoch in range(EPOCHS):
-        rate = RATE * (1 - epoch / EPOCHS)
+    def __init__(self, net: Network, seen: np.ndarray, trust: np.ndarray, shares: list[np.ndarray] | None = None):
+        self.net, self.seen, self.trust = net, seen, trust
+        self.shares = shares or [np.full_like(each, 1e-4) for each in self.weights()]
+        self.met = np.zeros(ROWS, bool)
+
+    def weights(self) -> list[np.ndarray]:
+        net = self.net
+        return [net.embedding, *net.filters, net.bias, net.out]
+
+    def sent(self) -> tuple:
+        """Plain arrays for a task; rows of words without an embedding, which stay as they began, are left out."""
+        rows, net = np.flatnonzero(self.seen), self.net
+        return rows, self.trust[rows], net.embedding[rows], self.shares[0][rows], net.filters, net.bias, net.out, net.constant, self.shares[1:]
+
+    @classmethod
+    def received(cls, sent: tuple) -> Learner:
+        rows, trust_, embedding_, squares_, filters, bias, out, constant, shares = copy.deepcopy(sent)
+        embedding, squares = np.zeros((ROWS, WIDTH), np.float32), np.full((ROWS, WIDTH), 1e-4, np.float32)
+        seen, trust = np.zeros(ROWS, bool), np.zeros(ROWS, np.float32)
+        embedding[rows], squares[rows], seen[rows], trust[rows] = embedding_, squares_, True, trust_
+        return cls(Network(embedding, filters, bias, out, constant), seen, trust, [squares, *shares])
+
+    def steps(self, texts: list[np.ndarray], labels: np.ndarray, rate: float, rng: np.random.Generator) -> None:
+        """One pass over the texts in random order."""
+        net, seen, trust, shares = self.net, self.seen, self.trust, self.shares
         order = rng.permutation(len(texts))
         for at in range(0, len(texts), BATCH):
             some = order[at : at + BATCH]
@@ -204,7 +222,83 @@ def train(texts: list[np.ndarray], labels: np.ndarray, seed: int = 1) -> Network
             step[hit == 0] = 0
             shares[0][hit] += step * step
             net.embedding[hit] -= rate * trust[hit, None] * step / np.sqrt(shares[0][hit])
-    return net
+            self.met[hit] = True
+
+    def flat(self) -> np.ndarray:
+        """Weights and sums of squares in one vector, the embedding and its sums first."""
+        return np.concatenate([self.net.embedding.ravel(), self.shares[0].ravel(), *map(np.ravel, self.weights()[1:]), *map(np.ravel, self.shares[1:]), np.array([self.net.constant], np.float32)])
+
+    def take(self, flat: np.ndarray) -> None:
+        at = 0
+        for each in (self.net.embedding, self.shares[0], *self.weights()[1:], *self.shares[1:]):
+            each[:] = flat[at : at + each.size].reshape(each.shape)
+            at += each.size
+        self.net.constant = float(flat[at])
+
+
+def learner(toxic: np.ndarray, n_toxic: float, clean: np.ndarray, n_clean: float, seed: int = 1) -> Learner:
+    """A learner at its start, from the texts of either label that hold each word row."""
+    held = toxic + clean
+    seen, trust = held >= LEAST_TEXTS, (held / (held + SHRINK)).astype(np.float32)
+    return Learner(Network.start(seen, standard_score(toxic, n_toxic, clean, n_clean), trust, seed), seen, trust)
+
+
+def epoch_rate(epoch: int) -> float:
+    return RATE * (1 - epoch / EPOCHS)
+
+
+def train(texts: list[np.ndarray], labels: np.ndarray, seed: int = 1) -> Network:
+    """Fit a network to word rows per text that are at hand, all texts alike."""
+    toxic, clean = (holders([text for text, own in zip(texts, labels) if (own > 0) == label]) for label in (True, False))
+    made = learner(toxic, labels.sum(), clean, len(labels) - labels.sum(), seed)
+    rng = np.random.default_rng(seed)
+    for epoch in range(EPOCHS):
+        made.steps(texts, labels, epoch_rate(epoch), rng)
+    return made.net
+
+
+def word_rows(part: pa.RecordBatch) -> tuple[list[np.ndarray], np.ndarray]:
+    """Word rows of each text of a batch of ``words``, and its labels as 0 or 1."""
+    texts = [np.frombuffer(each, np.int32) for each in part.column("words").to_pylist()]
+    return texts, (part.column("label").to_numpy(zero_copy_only=False) > 0).astype(float)
+
+
+def train_on_all(rows: DataFrame, n_toxic: int, n_clean: int, seed: int = 1) -> Network:
+    """Fit a network to ``words`` and ``label`` of every row, where a partition is a learner's."""
+
+    def counting():
+        def add(batch: pa.RecordBatch, total: np.ndarray) -> None:
+            for part in sliced([batch], "words", LEARNER_BYTES):
+                texts, labels = word_rows(part)
+                for i, label in enumerate((1, 0)):
+                    total[i * ROWS : (i + 1) * ROWS] += holders([text for text, own in zip(texts, labels) if own == label])
+
+        return add
+
+    toxic, clean = block_sums(rows, 2 * ROWS, counting).reshape(2, ROWS)
+    made = learner(toxic, n_toxic, clean, n_clean, seed)
+    words_ = 2 * ROWS * WIDTH
+    for epoch in range(EPOCHS):
+        before, sent = made.flat(), rows.sparkSession.sparkContext.broadcast(made.sent())
+
+        def stepping():
+            own, rng = Learner.received(sent.value), np.random.default_rng([seed, epoch])
+            start = own.flat()
+
+            def add(batch: pa.RecordBatch, total: np.ndarray) -> None:
+                for part in sliced([batch], "words", LEARNER_BYTES):
+                    own.steps(*word_rows(part), epoch_rate(epoch), rng)
+                # how far this learner has come, the words it met, and one learner
+                total[:] = np.concatenate([own.flat() - start, own.met, [1]])
+
+            return add
+
+        moved = block_sums(rows, len(before) + ROWS + 1, stepping)
+        sent.destroy()
+        far, met, learners = moved[: len(before)], moved[len(before) : -1], max(1.0, moved[-1])
+        over = np.tile(np.repeat(np.maximum(met, 1), WIDTH), 2)
+        made.take(before + np.concatenate([far[:words_] / over, far[words_:] / learners]))
+    return made.net
 
 
 def holders(texts: list[np.ndarray]) -> np.ndarray:
@@ -245,14 +339,15 @@ def within_words(sampled: DataFrame, most: int) -> DataFrame:
     return sampled.where(share(WORDS_SEED) < rate).withColumn("weight", F.col("weight") / rate)
 
 
-def fit(docs: DataFrame, labels: DataFrame, learn_from: Column, sample_rows: int = SAMPLE_ROWS, sample_words: int = SAMPLE_WORDS) -> Network | None:
-    """A calibrated network from the labelled documents that ``learn_from`` admits; None without both labels.
+def fit(docs: DataFrame, labels: DataFrame, learn_from: Column, sample_rows: int | None = None, sample_words: int | None = None) -> Network | None:
+    """A calibrated network from all labelled documents that ``learn_from`` admits; None without both labels.
 
     ``labels`` has ``doc_id`` and ``label``; ``learn_from`` is a condition on ``doc_id``.
-    The sample is bounded in rows and in words. Its words are counted in the
-    shared folder, and only whole texts that fit come to the driver.
+    Only a caller who gives a number of rows or words has a sample of that size
+    learned from, words on the driver; counts and thresholds then are the sample's.
     """
-    rows = sample(docs, one_label(labels, "label").where(learn_from), sample_rows)
+    marks = one_label(labels, "label").where(learn_from)
+    rows = labelled(docs, marks) if sample_rows is None else sample(docs, marks, sample_rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in sliced(batches):
@@ -267,32 +362,53 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from: Column, sample_rows: int
             )
 
     typed = rows.select("doc_id", "text", F.col("label").cast("double").alias("label"), F.col("weight").cast("double").alias("weight"))
-    sampled = cut_lineage(typed.mapInArrow(run, "doc_id long, words binary, language long, label double, weight double"))
-    taken = within_words(sampled, sample_words).collect()
-    taken.sort(key=lambda row: (row["doc_id"], row["words"]))
-    labels_ = np.array([row["label"] > 0 for row in taken], float)
-    if not 0 < labels_.sum() < len(taken):
+    taken = cut_lineage(typed.mapInArrow(run, "doc_id long, words binary, language long, label double, weight double"))
+    if sample_words is not None:
+        taken = cut_lineage(within_words(taken, sample_words))
+    back = share(BACK_SEED) < 0.2
+    counts = {(row["back"], row["toxic"]): row["count"] for row in taken.groupBy(back.alias("back"), (F.col("label") > 0).alias("toxic")).count().collect()}
+    n_toxic, n_clean = (sum(n for (_, toxic), n in counts.items() if toxic == label) for label in (True, False))
+    if not (n_toxic and n_clean):
         return None
-    weights = np.array([row["weight"] for row in taken])
-    spoken = np.array([row["language"] for row in taken])
-    texts = [np.frombuffer(row["words"], np.int32) for row in taken]
-    back = np.arange(len(taken)) % 5 == 0
-    if not 0 < labels_[back].sum() < back.sum():
-        back[:] = True
-    learned = ~back if not back.all() else back
-    net = train([text for text, use in zip(texts, learned) if use], labels_[learned])
-
-    held = np.flatnonzero(back)
-    logits = np.concatenate([net.logits(*layout(texts[i], np.zeros(len(texts[i]), np.int64), 1)) for i in held])
-    net.thresholds[:] = best_threshold(logits, labels_[back], weights[back])
-    for language in range(len(LANGUAGES)):
-        own = spoken[back] == language
-        if own.sum() >= LEAST_ROWS and labels_[back][own].sum() >= LEAST_TOXIC:
-            net.thresholds[language] = best_threshold(logits[own], labels_[back][own], weights[back][own])
-    net.divisor = temperature(logits - net.thresholds[spoken[back]], labels_[back], weights[back])
+    learned = held = taken
+    if len(counts) == 4:
+        learned, held = taken.where(~back), taken.where(back)
+        n_toxic, n_clean = counts[False, True], counts[False, False]
+    if sample_words is not None:
+        own = sorted(learned.select("doc_id", "words", "label").collect(), key=lambda row: (row["doc_id"], row["words"]))
+        net = train([np.frombuffer(row["words"], np.int32) for row in own], np.array([row["label"] > 0 for row in own], float))
+    else:
+        key = F.xxhash64("doc_id", "words", F.lit(DEAL_SEED))
+        learners = -(-(n_toxic + n_clean) // LEARNER_ROWS)
+        dealt = learned.select("doc_id", "words", "label", key.alias("key")).repartition(learners, "key").sortWithinPartitions("key", "doc_id", "words")
+        net = train_on_all(cut_lineage(dealt.select("words", "label")), n_toxic, n_clean)
+    calibrate(net, held)
     return net
 
 
+def calibrate(net: Network, held: DataFrame) -> None:
+    """Thresholds and temperature from the counts of all held-back rows by language, label and logit."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in sliced(batches, "words"):
+            texts, labels = word_rows(part)
+            owner = np.repeat(np.arange(len(texts)), [len(text) for text in texts])
+            logits = net.logits(*layout(np.concatenate(texts), owner, len(texts)))
+            grains = np.floor(np.clip(logits, -FARTHEST, FARTHEST) * GRAIN).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([part.column("language"), pa.array(labels), pa.array(grains), part.column("weight")], names=["language", "label", "grain", "weight"])
+
+    told = held.select("language", "label", "words", "weight").mapInArrow(run, "language long, label double, grain long, weight double")
+    rows = told.groupBy("language", "label", "grain").agg(F.count("*").alias("n"), F.sum("weight").alias("weight")).orderBy("language", "grain", "label").toPandas()
+    logits, labels = (rows["grain"].to_numpy() + 0.5) / GRAIN, rows["label"].to_numpy()
+    spoken, n, weights = (rows[name].to_numpy() for name in ("language", "n", "weight"))
+    net.thresholds[:] = best_threshold(logits, labels, weights)
+    for language in range(len(LANGUAGES)):
+        own = spoken == language
+        if n[own].sum() >= LEAST_ROWS and (n * labels)[own].sum() >= LEAST_TOXIC:
+            net.thresholds[language] = best_threshold(logits[own], labels[own], weights[own])
+    net.divisor = temperature(logits - net.thresholds[spoken], labels, weights)
+
+
 def score(docs: DataFrame, net: Network | None) -> DataFrame:
     """``row`` (all columns of the input) and ``score`` of every document. No shuffle."""
     rows = struct_of(docs)

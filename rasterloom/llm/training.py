@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rasterloom.llm.texts import whole_text
+from rasterloom.session import broadcast_within
 
 SAMPLE_SEED = 20
 
@@ -47,6 +48,12 @@ def sample(docs: DataFrame, marks: DataFrame, bound: int) -> DataFrame:
     return texts.join(F.broadcast(taken.limit(2 * bound)), "doc_id").select("doc_id", "text", "label", "weight")
 
 
+def labelled(docs: DataFrame, marks: DataFrame) -> DataFrame:
+    """``text``, ``label`` and a ``weight`` of 1 of every marked document; ids are sent to the documents while they are few."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+    return texts.join(broadcast_within(marks.select("doc_id", "label")), "doc_id").select("doc_id", "text", "label", F.lit(1.0).alias("weight"))
+
+
 def block_sums(rows: DataFrame, length: int, measure: Callable[[], Callable[[pa.RecordBatch, np.ndarray], None]], block: int = 16_384) -> np.ndarray:
     """Sum over all rows of a vector of fixed ``length``, which tasks add up in place.
 

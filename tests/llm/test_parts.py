@@ -396,6 +396,27 @@ def test_a_sample_is_bounded_by_words(spark, monkeypatch):
     assert 0 < seen[0] <= 33_000
 
 
+def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch):
+    """Several learners: counts, steps and thresholds see all rows, and words that one learner alone has met count."""
+    rng = np.random.default_rng(29)
+    common = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(200)]
+    rows = [(i, " ".join([*rng.choice(common, 20), *(["horrid"] if i % 3 == 0 and i > 60 else ["ghastly"] if i % 3 == 0 else [])])) for i in range(1500)]
+    marks = frame(spark, [(i, int(i % 3 == 0)) for i in range(1500)], "doc_id long, label int")
+    monkeypatch.setattr(toxicity, "LEARNER_ROWS", 250)
+    counted, real, sums = [], toxicity.calibrate, toxicity.train_on_all
+    monkeypatch.setattr(toxicity, "calibrate", lambda net, held: counted.append(held.count()) or real(net, held))
+    monkeypatch.setattr(toxicity, "train_on_all", lambda rows, *n: counted.append((rows.count(), rows.rdd.getNumPartitions(), sum(n))) or sums(rows, *n))
+    net = toxicity.fit(frame(spark, rows), marks, F.lit(True))
+    (learned, learners, given), held = counted
+    assert learned + held == 1500 and given == learned and learners == -(-learned // 250) > 3
+    scores = net.scores([text for _, text in rows])
+    assert np.mean((scores >= 0.5) == (np.arange(1500) % 3 == 0)) > 0.98
+    plain = " ".join(common[:20])
+    assert net.scores([plain + " ghastly"])[0] > net.scores([plain])[0] + 0.2
+    again = toxicity.fit(frame(spark, rows[::-1]).repartition(5), marks, F.lit(True))
+    assert np.allclose(net.embedding, again.embedding, atol=1e-5) and np.allclose(net.thresholds, again.thresholds)
+
+
 def test_crowded_blocks_are_cut_by_finer_bands(spark):
     """Band 1 has 100 classes in ten groups by finer band, band 2 has 60 close ones, band 3 is not crowded."""
     rows = [(bytes([i]), [1], [i // 10]) for i in range(100)]
