@@ -38,6 +38,7 @@ def lines_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One of each group of texts alike to 0.8: fingerprints meet, pigeonring chains prune, sets of shingles decide."""
     return simhash.one_of_each(docs)
 
 

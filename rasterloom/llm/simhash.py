@@ -18,14 +18,22 @@ Components are found by large-star and small-star steps over class links, each
 step a few joins and partial minima, written to the shared folder.
 
 ``near_duplicates`` is exact at two bits. ``one_of_each`` joins texts whose sets of
-five-word shingles are alike to 0.8 (Jaccard), for which no segment need be
-equal. Texts of one set are one class. Classes meet in blocks that share four
-minima of one-permutation MinHash, as two texts alike to 0.8 do in one of 16
-bands but for 2 in 10,000 pairs. Blocks only nominate: whole shingle sets are
-brought to them, and a link is one only if the sets themselves are alike to 0.8.
-A set is held against the leaders met so far, and becomes a leader if it is
-alike to none; followers of leaders nearby are tried as well, so that a block
-connects what all its pairs would. A block is the work of one task. Crowded blocks are cut by 16 further
+five-word shingles are alike to 0.8 (Jaccard). Texts of one set are one class,
+and a class has four fingerprints of its set. Classes whose first fingerprints
+reach each other at two bits, by the same segments, chains and components, are
+a block. For texts alike to 0.8 no segment need be equal, so classes also meet
+in blocks that share four minima of one-permutation MinHash, as two texts alike
+to 0.8 do in one of 16 bands but for 2 in 10,000 pairs.
+
+Blocks only nominate. In them the four fingerprints are the segments of a wider
+ring: pairs whose chains exceed the share of bits that sets alike enough stay
+within are pruned, and whole shingle sets are compared for the others. A link
+is one only if the sets themselves are alike to 0.8; the bits are set so wide
+that fewer than one alike pair in 10^9 lies beyond them, and sets of few
+shingles, whose bits say less, are never pruned. A set is held against the
+leaders met so far, and becomes a leader if it is alike to none; followers of
+leaders nearby are tried as well, so that a block connects what all its pairs
+would. A block is the work of one task. Crowded blocks are cut by 16 further
 bands of other minima wherever that lessens the pairs in them to a quarter; where
 it does not, their texts are close to each other and follow a few leaders.
 
@@ -44,7 +52,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rasterloom.llm.fingerprints import Sketch
-from rasterloom.llm.texts import keyed, mixed, packed, shingle_hashes, sliced, whole_text
+from rasterloom.llm.texts import keyed, mixed, packed, shingle_hashes, sliced, spread, whole_text
 from rasterloom.session import cut_lineage
 
 SEED, BITS = 42, 64
@@ -57,22 +65,35 @@ BUCKET = 64
 ALIKE_WORDS, LANES, ALIKE_OF, ALIKE_IN = 5, 2, 4, 5
 # Bits of 128 that prints of alike texts differ in, mostly. A measure of prints only: no link rests on it.
 ALIKE_BITS = 24
+# Fingerprints of a set, the segments of its wide ring, and how many of their 256 bits sets alike to 0.8 and to 0.6
+# (twice the distance) may differ in. A bit of such sets differs with a chance of 0.158 and 0.231 at most, from ``FEW``
+# shingles on, so that 2 pairs in 10^10 lie beyond. Smaller sets are compared whole.
+PRINTS, NEAR_BITS, FAR_BITS, FEW = 4, 80, 104, 16
 # Minima of a band, bands, and classes of a block that is not crowded.
 BAND, BANDS, BLOCK = 4, 16, 4096
 
 
+# The bits of every byte, one in each byte of a 64-bit value.
+_SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view("<u8").ravel()
+
+
 def fingerprint(hashes: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     """One value per text: a bit is set if more than half of the text's hashes set it.
 
-    The hashes of a text stand together, texts in order.
+    The hashes of a text stand together, texts in order. Bits are counted eight
+    at a time in the bytes of a word, over 255 hashes at most.
     """
     ones = np.zeros((n, BITS), np.int64)
     counts = np.bincount(owner, minlength=n)
     held = np.flatnonzero(counts)
     if len(held):
-        bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        starts = (np.cumsum(counts) - counts)[held]
-        ones[held] = np.add.reduceat(bits, starts, axis=0, dtype=np.int64)
+        parts = -(-counts[held] // 255)
+        firsts = np.cumsum(parts) - parts
+        starts = np.repeat((np.cumsum(counts) - counts)[held], parts) + 255 * spread(np.zeros(len(held), np.int64), parts)
+        octets = np.ascontiguousarray(hashes.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+        for i, octet in enumerate(octets):
+            sums = np.add.reduceat(_SPREAD[octet], starts).view(np.uint8).reshape(-1, 8)
+            ones[held, 8 * i : 8 * i + 8] = np.add.reduceat(sums, firsts, axis=0, dtype=np.int64)
     return np.packbits(2 * ones > counts[:, None], axis=1, bitorder="little").view("<u8").ravel()
 
 
@@ -230,8 +251,14 @@ def set_digests(hashes: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     return found
 
 
+def set_prints(hashes: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """A row of fingerprints per text, each of the shingle hashes mixed in another way."""
+    return np.stack([fingerprint(mixed(hashes + np.uint64(lane)), owner, n) for lane in range(PRINTS)], axis=1)
+
+
 def alike_classes(docs: DataFrame) -> DataFrame:
-    """``rid``, ``rkey``, the digest ``fp`` of the shingle set as bytes, and its ``bands`` and ``finer`` bands (none without words), of every row."""
+    """Of every row ``rid``, ``rkey``, the digest ``fp`` of the shingle set as bytes, its ``prints`` as bytes and the first
+    of them as ``point``, its ``bands`` and ``finer`` bands (none without words)."""
     sketch = Sketch(ALIKE_WORDS, BAND * BANDS)
 
     def bands(hashes: np.ndarray, owner: np.ndarray, n: int) -> pa.Array:
@@ -249,10 +276,13 @@ def alike_classes(docs: DataFrame) -> DataFrame:
             hashes, owner = sets_of(part.column("text").to_pylist())
             values = set_digests(hashes, owner, n)
             digests = pa.array([row.tobytes() for row in values], pa.binary())
-            made = [digests, bands(hashes, owner, n), bands(mixed(hashes + np.uint64(LANES + 1)), owner, n)]
-            yield pa.RecordBatch.from_arrays([part.column("rid"), part.column("rkey"), *made], names=["rid", "rkey", "fp", "bands", "finer"])
+            prints = set_prints(hashes, owner, n)
+            made = [digests, pa.array([row.tobytes() for row in prints], pa.binary()), pa.array(prints[:, 0].view(np.int64))]
+            made += [bands(hashes, owner, n), bands(mixed(hashes + np.uint64(LANES + 1)), owner, n)]
+            names = ["rid", "rkey", "fp", "prints", "point", "bands", "finer"]
+            yield pa.RecordBatch.from_arrays([part.column("rid"), part.column("rkey"), *made], names=names)
 
-    schema = "rid long, rkey long, fp binary, bands array<long>, finer array<long>"
+    schema = "rid long, rkey long, fp binary, prints binary, point long, bands array<long>, finer array<long>"
     return keyed(docs).select("rid", "rkey", "text").mapInArrow(run, schema)
 
 
@@ -265,7 +295,7 @@ def shared(one: np.ndarray, other: np.ndarray) -> int:
 class Block:
     """Sets that share a band. ``add`` gives links of a set to those before it, enough to connect all that are alike.
 
-    One minus the likeness is a distance, at most ``APART`` between alike sets.
+    Sets are compared whole only if the chains of their prints allow it. One minus the likeness is a distance, at most ``APART`` between alike sets.
     A set alike to a follower of a leader is within twice that of the leader,
     so only followers of such leaders are tried, and of them only those whose
     own distance to the leader allows it. Sets that are connected already are
@@ -278,9 +308,11 @@ class Block:
         self.names: list[bytes] = []
         self.sets: list[np.ndarray] = []
         self.root: list[int] = []
-        # numbers of the leaders, sizes of their sets, and who follows each at what distance
+        self.prints: list[int] = []
+        # numbers of the leaders, sizes of their sets, their prints, and who follows each at what distance
         self.leaders: list[int] = []
         self.sizes = np.zeros(16, np.int64)
+        self.rings = np.zeros((16, PRINTS), np.uint64)
         self.followers: list[list[tuple[int, float]]] = []
 
     def top(self, i: int) -> int:
@@ -288,16 +320,23 @@ class Block:
             self.root[i] = i = self.root[self.root[i]]
         return i
 
-    def add(self, name: bytes, own: np.ndarray) -> list[tuple[bytes, bytes]]:
+    def add(self, name: bytes, own: np.ndarray, prints: np.ndarray | None = None) -> list[tuple[bytes, bytes]]:
         found: list[tuple[bytes, bytes]] = []
         me, n = len(self.sets), len(own)
+        if prints is None:
+            prints = set_prints(own, np.zeros(n, np.int64), 1)[0]
         self.names.append(name)
         self.sets.append(own)
         self.root.append(me)
+        self.prints.append(int.from_bytes(prints.tobytes(), "little"))
         led, near = False, []
         sizes = self.sizes[: len(self.leaders)]
         # sets within twice the distance have sizes in this proportion at least
-        for at in np.flatnonzero(np.minimum(sizes, n) >= (1 - 2 * self.APART - 1e-9) * np.maximum(sizes, n)).tolist():
+        likely = np.flatnonzero(np.minimum(sizes, n) >= (1 - 2 * self.APART - 1e-9) * np.maximum(sizes, n))
+        if n >= FEW and len(likely):
+            within = ring_survivors(np.bitwise_count(self.rings[likely] ^ prints), FAR_BITS)
+            likely = likely[within | (sizes[likely] < FEW)]
+        for at in likely.tolist():
             leader = self.leaders[at]
             both, all_ = self._common(me, leader)
             far = 1 - both / all_
@@ -319,7 +358,9 @@ class Block:
         if not led:
             if len(self.leaders) == len(self.sizes):
                 self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
+                self.rings = np.concatenate([self.rings, np.zeros_like(self.rings)])
             self.sizes[len(self.leaders)] = n
+            self.rings[len(self.leaders)] = prints
             self.leaders.append(me)
             self.followers.append([])
         return found
@@ -329,6 +370,8 @@ class Block:
         return both, len(self.sets[one]) + len(self.sets[other]) - both
 
     def _alike(self, one: int, other: int) -> bool:
+        if min(len(self.sets[one]), len(self.sets[other])) >= FEW and (self.prints[one] ^ self.prints[other]).bit_count() > NEAR_BITS:
+            return False
         both, all_ = self._common(one, other)
         return ALIKE_IN * both >= ALIKE_OF * all_
 
@@ -339,28 +382,28 @@ class Block:
 
 
 def linked(blocks: DataFrame) -> DataFrame:
-    """Links ``one``, ``other`` between alike sets (``hashes``, named ``fp``) of a block (``band``)."""
+    """Links ``one``, ``other`` between alike sets (``hashes``, named ``fp``, with their ``prints``) of a block (``band``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, block, last = None, Block(), None
         for batch in batches:
             found: list[tuple[bytes, bytes]] = []
-            names, hashes = batch.column("fp"), batch.column("hashes")
+            names, prints, hashes = batch.column("fp"), batch.column("prints"), batch.column("hashes")
             for i, band in enumerate(batch.column("band").to_pylist()):
                 if band != held:
                     held, block, last = band, Block(), None
                 if (name := names[i].as_py()) != last:
                     last = name
-                    found += block.add(name, np.frombuffer(hashes[i].as_py(), np.uint64))
+                    found += block.add(name, np.frombuffer(hashes[i].as_py(), np.uint64), np.frombuffer(prints[i].as_py(), np.uint64))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(side, pa.binary()) for side in zip(*found)], names=["one", "other"])
 
-    placed = blocks.select("band", "fp", "hashes").repartition(F.col("band")).sortWithinPartitions("band", "fp")
+    placed = blocks.select("band", "fp", "prints", "hashes").repartition(F.col("band")).sortWithinPartitions("band", "fp")
     return placed.mapInArrow(run, "one binary, other binary")
 
 
 def with_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``fp``, ``bands`` and the shingle set ``hashes`` of the ``wanted`` texts, which have ``rid`` and ``rkey``."""
+    """``fp``, ``prints``, ``bands`` and the shingle set ``hashes`` of the ``wanted`` texts, which have ``rid`` and ``rkey``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in sliced(batches):
@@ -368,15 +411,27 @@ def with_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             hashes, owner = sets_of(part.column("text").to_pylist())
             sets = np.split(hashes, np.cumsum(np.bincount(owner, minlength=n))[:-1])
             made = pa.array([own.tobytes() for own in sets], pa.binary())
-            yield pa.RecordBatch.from_arrays([part.column("fp"), part.column("bands"), made], names=["fp", "bands", "hashes"])
+            kept = [part.column(name) for name in ("fp", "prints", "bands")]
+            yield pa.RecordBatch.from_arrays([*kept, made], names=["fp", "prints", "bands", "hashes"])
 
     texts = keyed(docs).select("rid", "rkey", "text").join(wanted, ["rid", "rkey"])
-    return texts.select("fp", "bands", "text").mapInArrow(run, "fp binary, bands array<long>, hashes binary")
+    return texts.select("fp", "prints", "bands", "text").mapInArrow(run, "fp binary, prints binary, bands array<long>, hashes binary")
+
+
+def ring_bands(rows: DataFrame) -> DataFrame:
+    """``fp`` and a ``band`` that it shares with those whose ``point`` its own reaches by steps of two bits or fewer."""
+    points = cut_lineage(rows.where(F.size("bands") > 0).select("fp", "point").distinct())
+    found = components(class_links(points.select(F.col("point").alias("fp")).distinct())).withColumnRenamed("node", "point")
+    root = F.coalesce("root", "point")
+    return points.join(found, "point", "left").select("fp", F.xxhash64(F.lit("ring"), root).alias("band"))
 
 
-def shared_bands(classes: DataFrame, block: int = BLOCK) -> DataFrame:
-    """``fp`` and ``band`` of the blocks of two classes or more; ``classes`` has distinct ``fp``, its ``bands`` and ``finer`` bands."""
+def shared_bands(classes: DataFrame, block: int = BLOCK, more: DataFrame | None = None) -> DataFrame:
+    """``fp`` and ``band`` of the blocks of two classes or more; ``classes`` has distinct ``fp``, its ``bands`` and ``finer``
+    bands, ``more`` has further bands as ``fp`` and ``band``."""
     entries = classes.select("fp", F.explode("bands").alias("band"))
+    if more is not None:
+        entries = entries.unionByName(more)
     sizes = cut_lineage(entries.groupBy("band").agg(F.count("*").alias("size")).where("size > 1"))
     crowded = sizes.where(F.col("size") > block)
     if crowded.isEmpty():
@@ -391,11 +446,12 @@ def shared_bands(classes: DataFrame, block: int = BLOCK) -> DataFrame:
     return entries.join(kept, "band").select("fp", "band").unionByName(parts.join(thinned, ["whole", "band"]).select("fp", "band"))
 
 
-def alike_links(docs: DataFrame, classes: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Links ``u`` < ``v`` between digests of alike texts; ``classes`` has distinct ``fp``, its bands and its ``first`` row."""
-    met = shared_bands(classes, block).groupBy("fp").agg(F.collect_list("band").alias("bands"))
-    wanted = classes.select("fp", "first.rid", "first.rkey").join(met, "fp")
-    blocks = with_sets(docs, wanted).select(F.explode("bands").alias("band"), "fp", "hashes")
+def alike_links(docs: DataFrame, classes: DataFrame, ring: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Links ``u`` < ``v`` between digests of alike texts; ``classes`` has distinct ``fp``, its prints, its bands and its
+    ``first`` row, ``ring`` the bands of the ring."""
+    met = shared_bands(classes, block, ring).groupBy("fp").agg(F.collect_list("band").alias("bands"))
+    wanted = classes.select("fp", "prints", "first.rid", "first.rkey").join(met, "fp")
+    blocks = with_sets(docs, wanted).select(F.explode("bands").alias("band"), "fp", "prints", "hashes")
     return linked(blocks).select(F.least("one", "other").alias("u"), F.greatest("one", "other").alias("v")).distinct()
 
 
@@ -406,8 +462,9 @@ def one_of_each(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """
     rows = cut_lineage(alike_classes(docs))
     first = F.min(F.struct("rid", "rkey")).alias("first")
-    classes = rows.groupBy("fp").agg(first, F.min("bands").alias("bands"), F.min("finer").alias("finer"))
-    found = components(alike_links(docs, classes, block))
+    own = [F.min(name).alias(name) for name in ("prints", "bands", "finer")]
+    classes = rows.groupBy("fp").agg(first, *own)
+    found = components(alike_links(docs, classes, ring_bands(rows), block))
     rooted = classes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.rid", "first.rkey")
     return packed(docs).select("rid", "rkey", "row").join(kept, ["rid", "rkey"]).dropDuplicates(["rid", "rkey"]).select("row.*")

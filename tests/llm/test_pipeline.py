@@ -226,3 +226,66 @@ def test_pairs_beyond_the_bits_are_one(spark):
             docs |= {len(docs) + i: text for i, text in enumerate(pair)}
     table = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
     assert {row["doc_id"] for row in simhash.one_of_each(table).collect()} == set(range(0, 20, 2))
+
+
+def test_texts_meet_by_their_fingerprints(spark, monkeypatch):
+    """Where no minima are shared, texts whose fingerprints reach each other at two bits are compared, and sets still decide."""
+
+    class Apart(Sketch):
+        def table(self, hashes, owner, n):
+            values, worded = super().table(hashes, owner, n)
+            return np.random.default_rng().integers(1 << 63, size=values.shape, dtype=np.uint64), worded
+
+    def points(texts):
+        return [int(p) for p in simhash.set_prints(*simhash.sets_of(texts), len(texts))[:, 0]]
+
+    rng = np.random.default_rng(31)
+    words = [f"w{i}" for i in range(3000)]
+    close, apart = [], []
+    while len(close) < 6:
+        base = rng.choice(words, 1500).tolist()
+        pair = [" ".join(base), " ".join([*base[:700], "other", *base[701:]])]
+        if (points(pair)[0] ^ points(pair)[1]).bit_count() <= 2:
+            close.append(pair)
+    # fifteen shingles of nineteen are shared: 0.79
+    tails = [[" ".join([*base, "a", "b"]), " ".join([*base, "c", "d"])] for base in rng.choice(words, (8000, 19)).tolist()]
+    found = points([text for pair in tails for text in pair])
+    apart = [pair for pair, p, q in zip(tails, found[::2], found[1::2]) if (p ^ q).bit_count() <= 2][:3]
+    assert apart and all(0.75 < likeness(*map(shingle_set, pair)) < 0.8 for pair in apart)
+    docs = dict(enumerate(text for pair in close + apart for text in pair))
+    monkeypatch.setattr(simhash, "Sketch", Apart)
+    table = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(3)
+    assert {row["doc_id"] for row in simhash.one_of_each(table).collect()} == set(docs) - {1, 3, 5, 7, 9, 11}
+
+
+def test_chains_of_prints_spare_comparisons(monkeypatch):
+    """Unrelated sets of a block are told apart by their prints."""
+    rng = np.random.default_rng(37)
+    compared, real = [], simhash.Block._common
+    monkeypatch.setattr(simhash.Block, "_common", lambda self, *pair: compared.append(pair) or real(self, *pair))
+    sets = [np.sort(rng.integers(1 << 62, size=200).astype(np.uint64)) for _ in range(150)]
+    sets += [np.sort(np.concatenate([own[10:], rng.integers(1 << 62, size=10).astype(np.uint64)])) for own in sets[:20]]
+    block = simhash.Block()
+    links = [link for i, own in enumerate(sets) for link in block.add(bytes([i]), own)]
+    assert sorted((one[0], other[0]) for one, other in links) == [(150 + i, i) for i in range(20)]
+    assert len(compared) < 100
+
+
+def test_prints_prune_no_alike_sets():
+    """The widths hold for sets of any size from ``FEW`` on, at the least likeness that they are for."""
+    rng = np.random.default_rng(41)
+    for share, bits in ((0.8, simhash.NEAR_BITS), (0.6, simhash.FAR_BITS)):
+        for size in (*range(simhash.FEW, 40), 100, 1000):
+            union = int(size * (2 / (1 + share)))
+            common = int(np.ceil(share * union))
+            most = 0
+            for _ in range(40):
+                pool = rng.integers(1 << 63, size=union, dtype=np.uint64)
+                half = common + (union - common) // 2
+                one, other = pool[:half], np.concatenate([pool[:common], pool[half:]])
+                owner = np.repeat([0, 1], [len(one), len(other)])
+                prints = simhash.set_prints(np.concatenate([one, other]), owner, 2)
+                counts = np.bitwise_count(prints[:1] ^ prints[1])
+                assert simhash.ring_survivors(counts, bits)[0]
+                most = max(most, int(counts.sum()))
+            assert most <= bits
